@@ -12,8 +12,12 @@ def as_column(c):
 
 def finite(c) -> Column:
     """NaN and +/-Inf become NULL."""
-    c = as_column(c)
-    return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
+    return F.when(is_finite(c), as_column(c))
+
+
+def is_finite(c) -> Column:
+    """NaN counts as larger than Inf; NULL stays NULL."""
+    return F.abs(as_column(c)) < F.lit(float("inf"))
 
 
 def safe_div(a, b) -> Column:

@@ -4,9 +4,12 @@ All windows of a stage share one partitioning and one order, so Spark plans one
 exchange and one sort for them.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
-from ..functions.numeric import finite, full_window, relative_change, safe_div
+from ..functions.numeric import full_window, is_finite, relative_change, safe_div
 from ..schema import ROLL_WINDOWS, TARGET_HORIZONS, floating_columns, require_columns
 from .ordered import over_symbols
 
@@ -116,5 +119,5 @@ def add_alpha_combos(df):
 def drop_incomplete(df):
     """Drop rows with a missing, NaN or infinite value in any column."""
     floats = set(floating_columns(df))
-    keep = [finite(c).alias(c) if c in floats else F.col(c) for c in df.columns]
-    return df.select(*keep).dropna("any")
+    usable = [is_finite(c) if c in floats else F.col(c).isNotNull() for c in df.columns]
+    return df.where(reduce(and_, usable))

@@ -27,6 +27,8 @@ from .lineage import cut_lineage
 ROWS_PER_TASK = 5_000_000
 SAMPLES_PER_CHUNK = 64
 _HASH_RANGE = 1 << 40
+# Stands for "count the groups and find out".
+_FIND = object()
 
 
 def group_sizes(df, keys):
@@ -34,15 +36,22 @@ def group_sizes(df, keys):
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
 
 
+def count_groups(sizes):
+    """Number of groups and rows of the largest one."""
+    row = sizes.agg(F.count(F.lit(1)), F.max("_rows")).first()
+    return row[0], row[1] or 0
+
+
 def cut_points(df, keys, order, sizes=None, rows_per_task=ROWS_PER_TASK):
     """`keys` and `_cuts`, the sorted first rows of chunks 1, 2, ... of each large group.
 
-    None if no group is large.
+    None if no group is large. The functions below take the result as `points`, or the
+    other arguments to find it themselves.
     """
     sizes = group_sizes(df, keys) if sizes is None else sizes
-    large = sizes.where(F.col("_rows") > rows_per_task).select(*keys)
-    if large.isEmpty():
+    if count_groups(sizes)[1] <= rows_per_task:
         return None
+    large = sizes.where(F.col("_rows") > rows_per_task).select(*keys)
     threshold = min(1.0, SAMPLES_PER_CHUNK / rows_per_task) * _HASH_RANGE
     sampled = (
         df.select(*keys, *order)
@@ -129,7 +138,7 @@ def with_position(df, keys, order, **skew):
     return _number(df, keys, order, points).drop("_chunk")
 
 
-def with_neighbours(df, keys, order, before=0, after=0, **skew):
+def with_neighbours(df, keys, order, before=0, after=0, points=_FIND, **skew):
     """Adds `_chunk` and `_halo`.
 
     Every chunk also gets copies (`_halo` true) of the `before` rows ahead of it and
@@ -138,7 +147,8 @@ def with_neighbours(df, keys, order, before=0, after=0, **skew):
     """
     if max(before, after) > SAMPLES_PER_CHUNK:
         raise ValueError(f"a chunk may hold only {SAMPLES_PER_CHUNK} rows")
-    points = cut_points(df, keys, order, **skew)
+    if points is _FIND:
+        points = cut_points(df, keys, order, **skew)
     rows = _place(df, keys, order, points).withColumn("_halo", F.lit(False))
     if points is None:
         return rows
@@ -156,16 +166,16 @@ def with_neighbours(df, keys, order, before=0, after=0, **skew):
     return rows
 
 
-def over_groups(df, keys, order, add, before=0, after=0, **skew):
+def over_groups(df, keys, order, add, before=0, after=0, **cuts):
     """`add(rows, window)` adds columns from row frames that reach at most `before` rows
     back and `after` rows ahead on `window` (groups `keys`, ordered by `order`)."""
-    rows = with_neighbours(df, keys, order, before, after, **skew)
+    rows = with_neighbours(df, keys, order, before, after, **cuts)
     window = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     return add(rows, window).where(~F.col("_halo")).drop("_chunk", "_halo")
 
 
-def over_symbols(df, add, before=0, after=0, **skew):
-    return over_groups(df, ["symbol"], ["date"], add, before, after, **skew)
+def over_symbols(df, add, before=0, after=0, **cuts):
+    return over_groups(df, ["symbol"], ["date"], add, before, after, **cuts)
 
 
 def with_average_rank(df, keys, value, ties, **skew):

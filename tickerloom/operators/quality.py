@@ -103,14 +103,8 @@ def target_analysis(df, targets=TARGETS, ties=("symbol", "date"), **skew):
 def feature_quality(df, columns=None):
     """Variance per feature with flags for low (< 1e-6) and zero variance."""
     columns = feature_columns(df) if columns is None else columns
-    row = df.agg(*[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    return rows_of(
-        row,
-        [
-            F.struct(F.lit(c).alias("feature"), F.col(f"v{i}").alias("variance"))
-            for i, c in enumerate(columns)
-        ],
-    ).select(
+    row = df.agg(*[F.var_samp(c).alias(c) for c in columns])
+    return row.unpivot([], columns, "feature", "variance").select(
         "feature",
         "variance",
         F.coalesce(F.col("variance") < LOW_VARIANCE, F.lit(False)).alias("low_variance"),
@@ -125,26 +119,24 @@ def leakage_check(df, columns=None, targets=TARGETS, top=5):
     the strongest feature of the target.
     """
     columns = feature_columns(df) if columns is None else columns
-    pairs = [(f, t) for t in targets for f in columns]
-    row = df.agg(
-        *[F.abs(complete_pearson(f, t)).alias(f"c{i}") for i, (f, t) in enumerate(pairs)]
+    long = df.select(*targets, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+        list(targets), columns, "feature", "x"
+    )
+    # One row per feature, with one correlation per target.
+    row = long.groupBy("feature").agg(
+        *[F.abs(complete_pearson("x", t)).alias(t) for t in targets]
+    )
+    table = row.unpivot(["feature"], list(targets), "target", "abs_corr").where(
+        F.col("abs_corr").isNotNull()
     )
-    table = rows_of(
-        row,
-        [
-            F.struct(
-                F.lit(t).alias("target"), F.lit(f).alias("feature"), F.col(f"c{i}").alias("abs_corr")
-            )
-            for i, (f, t) in enumerate(pairs)
-        ],
-    ).where(F.col("abs_corr").isNotNull())
     strongest = Window.partitionBy("target").orderBy(F.desc("abs_corr"), "feature")
-    verdict = F.when(F.col("position") == 1, F.when(F.col("abs_corr") > LEAK, "leak")
-                     .when(F.col("abs_corr") > STRONG, "strong").otherwise("ok"))
+    judged = F.when(F.col("abs_corr") > LEAK, "leak").when(F.col("abs_corr") > STRONG, "strong")
+    verdict = F.when(F.col("position") == 1, judged.otherwise("ok"))
     return (
         table.withColumn("position", F.row_number().over(strongest).cast("bigint"))
         .where(F.col("position") <= top)
         .withColumn("verdict", verdict)
+        .select("target", "feature", "abs_corr", "position", "verdict")
     )
 
 

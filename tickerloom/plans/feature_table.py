@@ -6,12 +6,28 @@ from pyspark.sql import functions as F
 from ..operators import features as f
 from ..operators import regime
 from ..operators.lineage import join_by_date
-from ..operators.ordered import over_symbols, with_neighbours
+from ..operators.ordered import (
+    ROWS_PER_TASK,
+    count_groups,
+    cut_points,
+    group_sizes,
+    over_symbols,
+    with_neighbours,
+)
 from ..operators.sampling import recent_dates, recent_rows
 from ..schema import TARGETS, require_columns
 
 
-def feature_table(bars, date_frac=1.0, scope="row_order", by_rows=True, drop_missing=True, **skew):
+def feature_table(
+    bars,
+    date_frac=1.0,
+    scope="row_order",
+    by_rows=True,
+    drop_missing=True,
+    sizes=None,
+    rows_per_task=ROWS_PER_TASK,
+    symbols_per_task=regime.SYMBOLS_PER_TASK,
+):
     """Bars with returns, momentum, volatility, z-scores, market regime, combinations, targets.
 
     `date_frac` keeps the latest part of the rows (`by_rows`) or of the distinct dates.
@@ -20,17 +36,21 @@ def feature_table(bars, date_frac=1.0, scope="row_order", by_rows=True, drop_mis
     """
     require_columns(bars, ["symbol", "date", "close"])
     bars = (recent_rows if by_rows else recent_dates)(bars, date_frac)
-    returns = over_symbols(
-        bars.select("symbol", "date", "close"), f.return_columns, before=1, **skew
-    )
+    sizes = group_sizes(bars, ["symbol"]) if sizes is None else sizes
+    symbols, largest = count_groups(sizes)
+    by_symbol = (["symbol"], ["date"])
+    points = cut_points(bars, *by_symbol, sizes, rows_per_task) if largest > rows_per_task else None
+
+    closes = bars.select("symbol", "date", "close")
+    returns = over_symbols(closes, f.return_columns, before=1, points=points)
     daily = regime.daily_volatility(returns.select("date", "return_1d"))
+
     rows = with_neighbours(
         join_by_date(bars, daily),
-        ["symbol"],
-        ["date"],
+        *by_symbol,
         before=f.REACH_BACK,
         after=f.REACH_AHEAD,
-        **skew,
+        points=points,
     )
     w = Window.partitionBy("symbol", "_chunk").orderBy("date")
     rows = f.return_columns(rows, w)
@@ -39,7 +59,9 @@ def feature_table(bars, date_frac=1.0, scope="row_order", by_rows=True, drop_mis
     rows = f.target_columns(rows, w)
     rows = regime.level_columns(rows, w).where(~F.col("_halo")).drop("_halo")
     if scope == "row_order":
-        rows = regime.finish_row_order(rows, regime.carried_levels(bars, daily))
+        many = symbols > symbols_per_task
+        carried = regime.carried_levels(bars, daily, many, symbols_per_task)
+        rows = regime.finish_row_order(rows, carried, many)
     else:
         rows = regime.finish_within_symbol(rows)
     rows = f.drop_price_levels(f.zscore_columns(f.momentum_columns(rows.drop("_chunk"))))

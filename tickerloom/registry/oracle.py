@@ -151,7 +151,8 @@ portfolio AS (
               THEN score / sum(score) OVER (PARTITION BY date) ELSE 0.0::DOUBLE END AS weight
   FROM chosen),
 traded AS (
-  SELECT * REPLACE (CASE WHEN day(date) = 13 THEN 0.0::DOUBLE ELSE weight END AS weight)
+  SELECT * REPLACE (CASE WHEN day(date) = 13 THEN 0.0::DOUBLE ELSE weight END AS weight,
+                    target / 100 AS target)
   FROM portfolio)"""
 
 PNL = f"""{PORTFOLIO},

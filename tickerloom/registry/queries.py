@@ -11,6 +11,7 @@ from .. import fixtures as fx
 from ..functions.names import extract_symbol, extract_ticker, ticker_equals
 from ..operators import cleaning, crosssection, features, portfolio, quality, regime
 from ..operators import sampling, signals, universe
+from ..operators.lineage import cut_lineage
 from ..plans import feature_table as plan
 from ..plans import training
 from ..sources.ticker_files import merge_sources
@@ -189,9 +190,10 @@ def _portfolio(spark, d):
 
 
 def _traded(spark, d):
-    """The portfolio without positions on the 13th of a month."""
+    """The portfolio without positions on the 13th of a month, at a hundredth of the
+    returns (the prices of the tables are random, a full position would lose everything)."""
     weight = F.when(F.dayofmonth("date") == 13, 0.0).otherwise(F.col("weight"))
-    return _portfolio(spark, d).withColumn("weight", weight)
+    return _portfolio(spark, d).withColumns({"weight": weight, "target": F.col("target") / 100})
 
 
 def portfolio_weights(spark, d):
@@ -424,10 +426,9 @@ def guardrail(spark, d):
 
 
 def train_predict(spark, d):
-    result = training.train_predict(
-        _features(spark, d), max_iter=5, max_depth=4, long_pct=LONG_PCT
-    )
-    return result.predictions
+    features_once = cut_lineage(_features(spark, d))
+    trained = training.train_predict(features_once, max_iter=3, max_depth=3, long_pct=LONG_PCT)
+    return trained.predictions
 
 
 QUERIES = {
