@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from .functions.numeric import safe_div
 from .operators import features
 from .operators.crosssection import cross_section_zscore
+from .operators.lineage import cut_lineage
 from .operators.ordered import group_sizes, over_symbols
+from .operators.rolling import add_rolling, drop_rolling
 
 # Every third supplier is listed, the file of every ninth is empty.
 LISTED_EVERY = 3
@@ -65,8 +67,9 @@ def scored_bars(spark, sf_dir):
 
     def add(rows, w):
         rows = features.return_columns(rows, w)
-        rows = features.volatility_columns(rows, w)
-        return features.target_columns(rows, w)
+        rows = features.target_columns(rows, w)
+        rows = features.volatility_columns(add_rolling(rows, w, ["return_1d"]))
+        return drop_rolling(rows, ["return_1d"])
 
     rows = over_symbols(
         bars(spark, sf_dir).select("symbol", "date", "close"),
@@ -84,8 +87,12 @@ def scored_bars(spark, sf_dir):
 
 
 def predictions(spark, sf_dir):
-    """`scored_bars` with the prediction as a z-score of its date."""
-    return cross_section_zscore(scored_bars(spark, sf_dir), ["prediction"]).dropna("any")
+    """`scored_bars` with the prediction as a z-score of its date.
+
+    Written once, as a stage of its own: every use reads it several times.
+    """
+    scored = cross_section_zscore(scored_bars(spark, sf_dir), ["prediction"])
+    return cut_lineage(scored.dropna("any"))
 
 
 def raw_bars(spark, sf_dir):

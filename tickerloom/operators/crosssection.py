@@ -1,7 +1,5 @@
 """Operators across the symbols of one date, and the training-set transforms."""
 
-from functools import reduce
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -32,28 +30,33 @@ def cross_section_zscore(df, columns, eps=STD_EPS):
     )
 
 
-def add_rank_pct(df, value, name="rank_pct", ties=("symbol",), **skew):
+def add_rank_pct(df, value, name="rank_pct", ties=("symbol",), counted=False, **skew):
     """Average rank of `value` within its date over the number of present values.
 
-    Rows without a value get NULL.
+    Rows without a value get NULL. `counted` says that `df` already has `_rows` and
+    `_present`, the rows and present values of the date.
     """
-    present = df.where(F.col(value).isNotNull())
-    counts = present.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = join_by_date(with_average_rank(present, ["date"], value, list(ties), **skew), counts)
-    absent = df.where(F.col(value).isNull()).withColumn(name, F.lit(None).cast("double"))
+    if not counted:
+        counts = df.groupBy("date").agg(
+            F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_present")
+        )
+        df = join_by_date(df, counts)
+    # NULL values are numbered first.
+    rank = "(_rank - (_rows - _present)) / _present"
     return (
-        ranked.withColumn(name, F.col("_rank") / F.col("_n"))
-        .drop("_rank", "_n")
-        .unionByName(absent)
+        with_average_rank(df, ["date"], value, list(ties), **skew)
+        .withColumn(name, F.expr(f"CASE WHEN {value} IS NOT NULL THEN {rank} END"))
+        .drop("_rank", "_rows", "_present")
     )
 
 
-def add_deciles(df, value="prediction", bins=DECILES, ties=("symbol",), **skew):
+def add_deciles(df, value="prediction", bins=DECILES, ties=("symbol",), min_rows=0, **skew):
     """Adds `decile`, 0 to bins - 1: intervals between the date's interpolated quantiles.
 
-    Equal edges are merged, so equal values always share a bin. A date whose values are
-    all equal has no interval and gets NULL.
+    Equal edges are merged, so equal values always share a bin. NULL for a missing value,
+    a date whose values are all equal, and a date with fewer than `min_rows` rows.
     """
+    rows = df.groupBy("date").agg(F.count(F.lit(1)).alias("_rows"))
     edges = quantiles(
         df,
         ["date"],
@@ -63,11 +66,18 @@ def add_deciles(df, value="prediction", bins=DECILES, ties=("symbol",), **skew):
         join_by_date,
         **skew,
     ).select("date", F.array_distinct("_quantiles").alias("_edges"))
+    usable = join_by_date(edges, rows).where(
+        (F.size("_edges") > 1) & (F.col("_rows") >= min_rows)
+    )
     below = F.size(F.filter("_edges", lambda edge: edge < F.col(value)))
     decile = F.when(
-        (F.size("_edges") > 1) & F.col(value).isNotNull(), F.greatest(below - 1, F.lit(0))
+        F.col("_edges").isNotNull() & F.col(value).isNotNull(), F.greatest(below - 1, F.lit(0))
+    )
+    return (
+        join_by_date(df, usable.drop("_rows"))
+        .withColumn("decile", decile.cast("bigint"))
+        .drop("_edges")
     )
-    return join_by_date(df, edges).withColumn("decile", decile.cast("bigint")).drop("_edges")
 
 
 def add_time_decay(df, strength=1.5):
@@ -103,7 +113,3 @@ def standardise(df, column, fit_on=None, eps=STD_EPS):
     mean = source.agg(F.avg(column).alias("v")).scalar()
     dev = source.agg(F.stddev_samp(column).alias("v")).scalar()
     return df.withColumn(column, zscore_of(column, mean, dev, eps))
-
-
-def all_present(columns):
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])

@@ -1,7 +1,7 @@
 """Per-symbol features of daily bars.
 
-All windows of a stage share one partitioning and one order, so Spark plans one
-exchange and one sort for them.
+All windows share one partitioning and one order, so Spark plans one exchange and one
+sort for them.
 """
 
 from functools import reduce
@@ -9,9 +9,10 @@ from operator import and_
 
 from pyspark.sql import functions as F
 
-from ..functions.numeric import full_window, is_finite, relative_change, safe_div
+from ..functions.numeric import is_finite, relative_change, safe_div
 from ..schema import ROLL_WINDOWS, TARGET_HORIZONS, floating_columns, require_columns
 from .ordered import over_symbols
+from .rolling import add_rolling, deviation, drop_rolling, mean_name
 
 # Rows a feature reaches back: the longest volatility window, whose first return
 # needs one more close.
@@ -19,10 +20,6 @@ REACH_BACK = max(ROLL_WINDOWS)
 REACH_AHEAD = max(TARGET_HORIZONS)
 
 
-def trailing(window, rows):
-    return window.rowsBetween(-(rows - 1), 0)
-
-
 def return_columns(rows, w):
     return rows.withColumns(
         {
@@ -32,40 +29,21 @@ def return_columns(rows, w):
     )
 
 
-def price_level_columns(rows, w):
-    """`_mean_n` and `_dev_n` of `close`, shared by momentum and z-scores."""
-    return rows.withColumns(
-        {f"_mean_{n}": full_window(F.avg, "close", trailing(w, n), n) for n in ROLL_WINDOWS}
-        | {f"_dev_{n}": full_window(F.stddev_samp, "close", trailing(w, n), n) for n in ROLL_WINDOWS}
-    )
-
-
 def momentum_columns(rows):
     return rows.withColumns(
-        {f"ma_ratio_{n}": safe_div("close", f"_mean_{n}") for n in ROLL_WINDOWS}
+        {f"ma_ratio_{n}": safe_div("close", mean_name("close", n)) for n in ROLL_WINDOWS}
     )
 
 
-def volatility_columns(rows, w):
-    return rows.withColumns(
-        {
-            f"vol_{n}": full_window(F.stddev_samp, "return_1d", trailing(w, n), n)
-            for n in ROLL_WINDOWS
-        }
-    )
+def volatility_columns(rows):
+    return rows.withColumns({f"vol_{n}": deviation("return_1d", n) for n in ROLL_WINDOWS})
 
 
 def zscore_columns(rows):
-    return rows.withColumns(
-        {
-            f"zscore_{n}": safe_div(F.col("close") - F.col(f"_mean_{n}"), f"_dev_{n}")
-            for n in ROLL_WINDOWS
-        }
-    )
+    def zscore(n):
+        return safe_div(F.col("close") - F.col(mean_name("close", n)), deviation("close", n))
 
-
-def drop_price_levels(rows):
-    return rows.drop(*[f"_{kind}_{n}" for kind in ("mean", "dev") for n in ROLL_WINDOWS])
+    return rows.withColumns({f"zscore_{n}": zscore(n) for n in ROLL_WINDOWS})
 
 
 def target_columns(rows, w):
@@ -77,32 +55,38 @@ def target_columns(rows, w):
     )
 
 
-def add_returns(bars, **skew):
+def add_returns(bars, **cuts):
     """`return_1d`, `return_5d`: change of `close` against 1 and 5 rows earlier."""
-    return over_symbols(bars, return_columns, before=5, **skew)
+    return over_symbols(bars, return_columns, before=5, **cuts)
+
+
+def _from_rolling(bars, value, add, **cuts):
+    def roll(rows, w):
+        return add_rolling(rows, w, [value])
+
+    rows = over_symbols(bars, roll, before=REACH_BACK - 1, **cuts)
+    return drop_rolling(add(rows), [value])
 
 
-def add_momentum(bars, **skew):
+def add_momentum(bars, **cuts):
     """`ma_ratio_n`: close over its n-row mean, NULL until n rows are there."""
-    levels = over_symbols(bars, price_level_columns, before=REACH_BACK - 1, **skew)
-    return drop_price_levels(momentum_columns(levels))
+    return _from_rolling(bars, "close", momentum_columns, **cuts)
 
 
-def add_volatility(bars, **skew):
+def add_volatility(bars, **cuts):
     """`vol_n`: sample deviation of `return_1d` over n rows."""
     require_columns(bars, ["return_1d"])
-    return over_symbols(bars, volatility_columns, before=REACH_BACK - 1, **skew)
+    return _from_rolling(bars, "return_1d", volatility_columns, **cuts)
 
 
-def add_zscores(bars, **skew):
+def add_zscores(bars, **cuts):
     """`zscore_n`: close against mean and deviation of its last n rows."""
-    levels = over_symbols(bars, price_level_columns, before=REACH_BACK - 1, **skew)
-    return drop_price_levels(zscore_columns(levels))
+    return _from_rolling(bars, "close", zscore_columns, **cuts)
 
 
-def add_targets(bars, **skew):
+def add_targets(bars, **cuts):
     """`target_h`: change of `close` h rows ahead."""
-    return over_symbols(bars, target_columns, after=REACH_AHEAD, **skew)
+    return over_symbols(bars, target_columns, after=REACH_AHEAD, **cuts)
 
 
 def add_alpha_combos(df):
@@ -116,8 +100,9 @@ def add_alpha_combos(df):
     )
 
 
-def drop_incomplete(df):
-    """Drop rows with a missing, NaN or infinite value in any column."""
+def drop_incomplete(df, columns=None):
+    """Drop rows with a missing, NaN or infinite value in any of the columns (default: all)."""
+    columns = df.columns if columns is None else columns
     floats = set(floating_columns(df))
-    usable = [is_finite(c) if c in floats else F.col(c).isNotNull() for c in df.columns]
+    usable = [is_finite(c) if c in floats else F.col(c).isNotNull() for c in columns]
     return df.where(reduce(and_, usable))

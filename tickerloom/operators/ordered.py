@@ -179,7 +179,7 @@ def over_symbols(df, add, before=0, after=0, **cuts):
 
 
 def with_average_rank(df, keys, value, ties, **skew):
-    """Adds `_rank`: equal values share the mean of their positions; `value` must not be NULL.
+    """Adds `_rank`: equal values share the mean of their positions (NULLs first).
 
     `ties` are columns that make (keys, value, ties) unique. They only serve to cut a
     long run of equal values into chunks; such a run (at most one per cut point) is put
@@ -218,13 +218,15 @@ def quantiles(df, keys, value, probabilities, ties, join_sizes, **skew):
     NULL values are left out. Only the two rows around each quantile leave their chunk.
     `join_sizes(rows, counts)` joins the one-row-per-group table `counts` to `rows`.
     """
-    order = [value, *ties]
-    rows = df.where(F.col(value).isNotNull()).select(*keys, *order)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value, *ties)
+    points = cut_points(rows, keys, [value, *ties], **skew)
+    # Any order of equal values gives the same quantiles; `ties` only help to cut them.
+    order = [value] if points is None else [value, *ties]
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     at = [F.lit(float(p)) * (F.col("_n") - F.lit(1)) for p in probabilities]
     needed = [F.col("_pos") == bound(t) + 1 for t in at for bound in (F.floor, F.ceil)]
     found = (
-        join_sizes(with_position(rows, keys, order, **skew), counts)
+        join_sizes(_number(rows.select(*keys, *order), keys, order, points), counts)
         .where(reduce(or_, needed))
         .groupBy(*keys, "_n")
         .agg(F.map_from_entries(F.collect_list(F.struct("_pos", value))).alias("_at"))

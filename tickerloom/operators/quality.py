@@ -227,10 +227,8 @@ def decile_analysis(df, min_rows=10, **skew):
 
     Uses dates with at least `min_rows` rows and two deciles.
     """
-    sizes = df.groupBy("date").agg(F.count(F.lit(1)).alias("_n"))
-    rows = join_by_date(df, sizes.where(F.col("_n") >= min_rows), "inner")
     per_date = (
-        add_deciles(rows, **skew)
+        add_deciles(df, min_rows=min_rows, **skew)
         .where(F.col("decile").isNotNull())
         .groupBy("date", "decile")
         .agg(F.avg("target").alias("_mean"))

@@ -23,6 +23,11 @@ def add_signals(df, long_pct=0.02, short_pct=0.02, **skew):
         F.stddev_samp("prediction").alias("_dev"),
         F.min("prediction").alias("_low"),
         F.max("prediction").alias("_high"),
+        F.count(F.lit(1)).alias("_rows"),
+        # Without a deviation there is no score.
+        F.when(F.stddev_samp("prediction").isNotNull(), F.count("prediction"))
+        .otherwise(0)
+        .alias("_present"),
     )
     # The score grows with the prediction, so its extremes are those of the extremes.
     largest = F.greatest(
@@ -34,7 +39,7 @@ def add_signals(df, long_pct=0.02, short_pct=0.02, **skew):
         .withColumn("confidence", F.abs("pred_z") / (largest + F.lit(STD_EPS)))
         .drop("_mean", "_dev", "_low", "_high")
     )
-    ranked = add_rank_pct(scored, "pred_z", **skew)
+    ranked = add_rank_pct(scored, "pred_z", counted=True, **skew)
     signal = (
         F.when(F.col("rank_pct") <= F.lit(short_pct), "SHORT")
         .when(F.col("rank_pct") >= F.lit(1 - long_pct), "BUY")

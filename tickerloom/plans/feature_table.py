@@ -14,9 +14,16 @@ from ..operators.ordered import (
     over_symbols,
     with_neighbours,
 )
+from ..operators.rolling import add_rolling, drop_rolling, mean_name
 from ..operators.sampling import recent_dates, recent_rows
 from ..schema import TARGETS, require_columns
 
+ROLLED = ["close", "return_1d", "_level"]
+# With these and the bar itself, every feature has a value: the longest window covers the
+# shorter ones, and the divisors are a mean price or not negative before EPS is added.
+# Checking them keeps the filter small and ahead of the feature expressions.
+COMPLETE_IF = ["return_5d", mean_name("close", 50), mean_name("return_1d", 50), *TARGETS]
+
 
 def feature_table(
     bars,
@@ -53,18 +60,19 @@ def feature_table(
         points=points,
     )
     w = Window.partitionBy("symbol", "_chunk").orderBy("date")
-    rows = f.return_columns(rows, w)
-    rows = f.price_level_columns(rows, w)
-    rows = f.volatility_columns(rows, w)
-    rows = f.target_columns(rows, w)
-    rows = regime.level_columns(rows, w).where(~F.col("_halo")).drop("_halo")
+    rows = f.target_columns(f.return_columns(rows, w), w)
+    rows = regime.level_columns(rows, w)
+    rows = add_rolling(rows, w, ROLLED, deviations=ROLLED[:2]).where(~F.col("_halo")).drop("_halo")
+    if drop_missing:
+        rows = f.drop_incomplete(rows, [*bars.columns, *COMPLETE_IF])
     if scope == "row_order":
         many = symbols > symbols_per_task
         carried = regime.carried_levels(bars, daily, many, symbols_per_task)
         rows = regime.finish_row_order(rows, carried, many)
     else:
         rows = regime.finish_within_symbol(rows)
-    rows = f.drop_price_levels(f.zscore_columns(f.momentum_columns(rows.drop("_chunk"))))
-    rows = f.add_alpha_combos(rows)
-    rows = rows.select(*[c for c in rows.columns if c not in TARGETS], *TARGETS)
-    return f.drop_incomplete(rows) if drop_missing else rows
+    if drop_missing:
+        rows = rows.where(F.col("market_vol_regime").isNotNull())
+    rows = f.zscore_columns(f.volatility_columns(f.momentum_columns(rows.drop("_chunk"))))
+    rows = f.add_alpha_combos(drop_rolling(rows, ROLLED))
+    return rows.select(*[c for c in rows.columns if c not in TARGETS], *TARGETS)
