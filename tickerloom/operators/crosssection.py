@@ -61,7 +61,9 @@ def add_deciles(df, value="prediction", bins=DECILES, ties=("symbol",), min_rows
         df,
         ["date"],
         value,
-        [i / bins for i in range(bins + 1)],
+        # Multiples of the step: 3 * 0.1 is a little above 0.3, and a quantile that is a
+        # little above a value is an edge of its own.
+        [i * (1 / bins) for i in range(bins + 1)],
         list(ties),
         join_by_date,
         **skew,

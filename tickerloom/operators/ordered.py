@@ -235,6 +235,8 @@ def quantiles(df, keys, value, probabilities, ties, join_sizes, **skew):
     def interpolate(t):
         low = F.element_at("_at", F.floor(t) + 1)
         high = F.element_at("_at", F.ceil(t) + 1)
-        return low + (high - low) * (t - F.floor(t))
+        part, gap = t - F.floor(t), high - low
+        # From the nearer end, so that the last digit agrees with other tools.
+        return F.when(part < 0.5, low + gap * part).otherwise(high - gap * (F.lit(1.0) - part))
 
     return found.select(*keys, "_n", F.array(*[interpolate(t) for t in at]).alias("_quantiles"))

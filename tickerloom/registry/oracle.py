@@ -201,7 +201,7 @@ latest AS (SELECT * FROM signals WHERE date = (SELECT max(date) FROM signals))""
 
 DECILES = f"""{PREDICTIONS},
 edges AS (
-  SELECT date, list_distinct(quantile_cont(prediction, [{', '.join(f'{i / 10}::DOUBLE' for i in range(11))}])) AS e,
+  SELECT date, list_distinct(quantile_cont(prediction, [{', '.join(f'{i * 0.1}::DOUBLE' for i in range(11))}])) AS e,
          count(*) AS names
   FROM predictions GROUP BY date),
 binned AS (
