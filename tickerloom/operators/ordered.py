@@ -106,22 +106,29 @@ def _place(df, keys, order, points, how="left"):
     )
 
 
+def _chunk_counts(df, keys, order, points):
+    """`_n` rows of every chunk of the large groups and `_before`, those of earlier chunks."""
+    so_far = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_chunk"))
+    return (
+        _place(df.select(*keys, *order), keys, order, points, "inner")
+        .groupBy(*keys, "_chunk")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", so_far - F.col("_n"))
+    )
+
+
+def _number_in_chunk(keys, order):
+    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    return F.row_number().over(in_chunk).cast("bigint")
+
+
 def _number(df, keys, order, points):
     """Adds `_chunk` and `_pos`."""
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    number = F.row_number().over(in_chunk).cast("bigint")
+    number = _number_in_chunk(keys, order)
     rows = _place(df, keys, order, points)
     if points is None:
         return rows.withColumn("_pos", number)
-    chunk_rows = (
-        _place(df.select(*keys, *order), keys, order, points, "inner")
-        .groupBy(*keys, "_chunk")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    so_far = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_chunk"))
-    earlier = cut_lineage(
-        chunk_rows.select(*keys, "_chunk", (so_far - F.col("_n")).alias("_before"))
-    )
+    earlier = cut_lineage(_chunk_counts(df, keys, order, points).drop("_n"))
     return (
         rows.join(F.broadcast(earlier), [*keys, "_chunk"], "left")
         .withColumn("_pos", F.coalesce("_before", F.lit(0)) + number)
@@ -215,19 +222,40 @@ def with_average_rank(df, keys, value, ties, **skew):
 def quantiles(df, keys, value, probabilities, ties, join_sizes, **skew):
     """Exact linearly interpolated quantiles: `keys`, `_n` and the array `_quantiles`.
 
-    NULL values are left out. Only the two rows around each quantile leave their chunk.
-    `join_sizes(rows, counts)` joins the one-row-per-group table `counts` to `rows`.
+    NULL values are left out. Of a large group, only the chunks that hold a quantile are
+    sorted. `join_sizes(rows, counts)` joins the one-row-per-group table `counts` to `rows`.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, value, *ties)
     points = cut_points(rows, keys, [value, *ties], **skew)
-    # Any order of equal values gives the same quantiles; `ties` only help to cut them.
-    order = [value] if points is None else [value, *ties]
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     at = [F.lit(float(p)) * (F.col("_n") - F.lit(1)) for p in probabilities]
-    needed = [F.col("_pos") == bound(t) + 1 for t in at for bound in (F.floor, F.ceil)]
+    wanted = [bound(t) + 1 for t in at for bound in (F.floor, F.ceil)]
+    if points is None:
+        # Any order of equal values gives the same quantiles; `ties` only help to cut them.
+        numbered = _number(rows.select(*keys, value), keys, [value], None)
+    else:
+        order = [value, *ties]
+        chunks = _chunk_counts(rows, keys, order, points).withColumnRenamed("_n", "_in_chunk")
+        holds = [
+            (w > F.col("_before")) & (w <= F.col("_before") + F.col("_in_chunk")) for w in wanted
+        ]
+        needed = cut_lineage(
+            chunks.withColumn("_n", F.sum("_in_chunk").over(Window.partitionBy(*keys)))
+            .where(reduce(or_, holds))
+            .select(*keys, "_chunk", "_before")
+        )
+        large = _place(rows, keys, order, points, "inner").join(
+            F.broadcast(needed), [*keys, "_chunk"]
+        )
+        zero = F.lit(0)
+        others = rows.join(F.broadcast(points.select(*keys)), list(keys), "left_anti")
+        others = others.withColumns({"_chunk": zero, "_before": zero.cast("bigint")})
+        numbered = large.unionByName(others).withColumn(
+            "_pos", F.col("_before") + _number_in_chunk(keys, order)
+        )
     found = (
-        join_sizes(_number(rows.select(*keys, *order), keys, order, points), counts)
-        .where(reduce(or_, needed))
+        join_sizes(numbered, counts)
+        .where(reduce(or_, [F.col("_pos") == w for w in wanted]))
         .groupBy(*keys, "_n")
         .agg(F.map_from_entries(F.collect_list(F.struct("_pos", value))).alias("_at"))
     )
