@@ -43,7 +43,8 @@ def count_groups(sizes):
 
 
 def cut_points(df, keys, order, sizes=None, rows_per_task=ROWS_PER_TASK):
-    """`keys` and `_cuts`, the sorted first rows of chunks 1, 2, ... of each large group.
+    """`keys`, `_cuts`, the sorted first rows of chunks 1, 2, ... of each large group, and
+    `_steps`, one element per step of a binary search in them.
 
     None if no group is large. The functions below take the result as `points`, or the
     other arguments to find it themselves.
@@ -69,11 +70,14 @@ def cut_points(df, keys, order, sizes=None, rows_per_task=ROWS_PER_TASK):
         )
 
     cuts = F.array_distinct(F.filter("_marks", starts_chunk)).alias("_cuts")
-    return cut_lineage(sampled.select(*keys, cuts))
+    steps = F.greatest(F.ceil(F.log2(F.size("_cuts") + 1)).cast("int"), F.lit(1))
+    return cut_lineage(
+        sampled.select(*keys, cuts).withColumn("_steps", F.sequence(F.lit(1), steps))
+    )
 
 
-def _chunk_of(cuts, row):
-    """Number of cut points at or below `row`: a binary search on the sorted array."""
+def _chunk_of(cuts, steps, row):
+    """Number of cut points at or below `row`."""
 
     def halve(span, _):
         middle = F.shiftright(span["lo"] + span["hi"], 1)
@@ -87,7 +91,7 @@ def _chunk_of(cuts, row):
         )
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(32)),
+        steps,
         F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi")),
         halve,
         lambda span: span["lo"],
@@ -98,11 +102,11 @@ def _place(df, keys, order, points, how="left"):
     """Adds `_chunk`."""
     if points is None:
         return df.withColumn("_chunk", F.lit(0))
-    chunk = _chunk_of(F.col("_cuts"), F.struct(*order))
+    chunk = _chunk_of(F.col("_cuts"), F.col("_steps"), F.struct(*order))
     return (
         df.join(F.broadcast(points), list(keys), how)
         .withColumn("_chunk", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(chunk))
-        .drop("_cuts")
+        .drop("_cuts", "_steps")
     )
 
 
