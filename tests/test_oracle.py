@@ -5,7 +5,8 @@ import os
 import pytest
 from compare import DATA, differences, duck
 
-import __spark_entry__ as driver
+from tickerloom.registry.oracle import ORACLE
+from tickerloom.registry.queries import QUERIES
 
 # The driver checks sf0.01; the small set has no date with ten names, so queries on
 # deciles are empty there.
@@ -19,11 +20,11 @@ def con():
 
 
 def test_every_query_but_training_has_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"train_predict"}
-    assert set(driver.oracle_sql()) <= set(driver.queries())
+    assert set(QUERIES) - set(ORACLE) == {"train_predict"}
+    assert set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_result(spark, con, name):
-    df = driver.queries()[name](spark, SF_DIR)
-    assert differences(df, con, driver.oracle_sql()[name]) == []
+    df = QUERIES[name](spark, SF_DIR)
+    assert differences(df, con, ORACLE[name]) == []
