@@ -1,0 +1,103 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickerloom.llm import html_text as op
+
+PAGES = "page_id long, url string, html string"
+
+
+def page(k, paragraphs, extra=""):
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    return (
+        f'<!DOCTYPE html><html><head><title>T{k}</title><script>var t="</p>";x({k})</script></head><body>'
+        f'<nav><ul><li><a href="/{k}">n{k}</a></li></ul></nav><!-- ad <p>no</p> --><div class="ad">buy {k}</div>'
+        f"<article><h1>Head {k}</h1>{body}{extra}</article><footer>&copy; h &middot; foot {k}</footer></body></html>"
+    )
+
+
+def test_contract_cases():
+    text = op.main_text
+    assert text(page(1, ["a  b\n c", "x &amp; y &lt;z&gt; &eacute;", " "])) == "Head 1\na b c\nx & y <z> é"
+    assert text("<article><p><b>one.<br><p>two</article>") == "one.\ntwo"
+    assert text("<article>a<b>b</b> c<br>d<!-- x -->e</article>") == "ab c de"
+    assert text("<p>only<p>text &amp text &am") == "only\ntext & text &am"
+    assert text(None) == text("") == text("<div></div>") == ""
+    assert text("plain\n text") == "plain text"
+    assert text("<article><p>a</p><section class='comments'><p>c</p></section><aside>s</aside></article>") == "a"
+    assert text("<main><div id=cookie-notice>no</div><form><p>f</p></form><div>yes</div></main>") == "yes"
+    assert text("<article class='no-comments'><header><h1>t</h1></header><p class='lead-header'>p</p></article>") == "t\np"
+    assert text("<header><h1>site</h1></header><main><p>a</p></main><div>b</div>") == "a"
+    assert text("<article><p title='a > b'>q</p><script>if(a<b){}</script><p>r<") == "q\nr<"
+    assert text("<article>x</article><p>cut <a hre") == "x"
+    assert text("<ARTICLE><P>Up</P><Style>p{}</STYLE></ARTICLE>") == "Up"
+    assert text("<article><ul><li>a<li>b</ul><table><tr><td>1<td>2</table></article>") == "a\nb\n1\n2"
+
+
+@pytest.fixture(scope="module")
+def site(spark):
+    """One host without semantic elements, one that is hot, and odd rows."""
+    rng = random.Random(0)
+    rows = []
+    for k in range(30):
+        links = "".join(f"<a href='/{rng.random()}'>link {rng.randint(0, 99)}</a> " for _ in range(5))
+        rows.append(
+            (k, f"http://plain.example.com/{k}",
+             f"<html><body><div class='top{k}'>{links}</div><div>Welcome to our site</div>"
+             f"<div class='text'><p>Story {k} {rng.random()}</p><p>It ends <a href='x'>here {k}</a>.</p></div>"
+             "<div>Call us any time</div></body></html>")
+        )
+    rows += [(100 + k, f"https://hot.example.org/{k % 7}", page(k, [f"p {k}", "the same line"])) for k in range(120)]
+    rows += [(300, None, None), (None, "", ""), (301, "no address", "<p>x</p>"), (302, None, page(5, ["y"]))]
+    rows += [rows[3], rows[40]]
+    return spark.createDataFrame(rows, PAGES).repartition(4), rows
+
+
+def test_template_text_and_menus_go(site):
+    df, rows = site
+    found = {}
+    for r in op.report(df).collect():
+        found.setdefault(r["page_id"], []).append(r)
+    assert sum(map(len, found.values())) == len(rows)
+    for page_id, _, html in rows:
+        for r in found[page_id]:
+            assert r["n_chars"] == len(r["text"])
+    story = found[3][0]["text"].split("\n")
+    assert len(found[3]) == 2 and story[0].startswith("Story 3 ") and story[1:] == ["It ends here 3."]
+    # A line of every article of a host with ten pages or more is template text.
+    assert found[110][0]["text"] == "Head 10\np 10"
+    assert found[300][0]["text"] == found[None][0]["text"] == "" and found[301][0]["text"] == "x"
+    assert found[302][0]["text"] == "Head 5\ny"
+
+
+def test_classes_nest(site):
+    df, _ = site
+    rows = op.equivalence_classes(df).where("host = 'hot.example.org'").collect()
+    by_path = {r["path"]: r for r in rows if r["block"] == 0}
+    assert by_path["/html/body/article"]["vector"] == by_path[""]["vector"]
+    paragraph = by_path["/html/body/article/p"]
+    assert paragraph["vector"]["total"] == 2 * paragraph["vector"]["support"] and paragraph["valid"]
+    assert paragraph["parent_class"] == by_path[""]["vector"]
+
+
+def test_extra_columns_and_empty(site, spark):
+    df, _ = site
+    wide = df.withColumns({c: F.lit("x") for c in ("host", "text", "menus", "path", "block")})
+    key = lambda r: (r["page_id"] is None, r["page_id"], r["text"])
+    assert sorted(op.report(wide).collect(), key=key) == sorted(op.report(df).collect(), key=key)
+    assert op.report(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_long_page():
+    text = "word " * 200_000
+    assert op.main_text(f"<article><p>{text}</p></article>") == text.strip()
+    op.main_text("<a " * 50_000)
+    op.main_text('<p class="x' * 5_000)
+    op.main_text("<div>" * 5_000 + "x")
+
+
+def test_real_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    for r in op.report(pages).collect():
+        assert r["text"] and "<" not in r["text"] and "©" not in r["text"]

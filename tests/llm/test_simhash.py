@@ -1,0 +1,123 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from tickerloom.llm import simhash as op
+
+
+def brute_fingerprint(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words, word = [], ""
+    for c in low + " ":
+        if c in " \t\n\x0b\x0c\r":
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(fps, radius=4):
+    n = len(fps)
+    label = list(range(n))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(n):
+            for j in range(n):
+                if (fps[i] ^ fps[j]).bit_count() <= radius and label[j] < label[i]:
+                    label[i], changed = label[j], True
+    return label
+
+
+def brute(rows):
+    fps = [brute_fingerprint(t) for _, t in rows]
+    labels = brute_components(fps)
+    least = {}
+    for (doc_id, _), label in zip(rows, labels):
+        if doc_id is not None:
+            least[label] = min(least.get(label, doc_id), doc_id)
+    out = [(d, f"{fp:016x}", least.get(label)) for (d, _), fp, label in zip(rows, fps, labels)]
+    return sorted(out, key=lambda r: [(x is None, x) for x in r])
+
+
+def test_brute_force(odd, odd_rows, listed, widen):
+    expected = brute([r[:2] for r in odd_rows])
+    assert listed(op.report(odd)) == expected
+    assert listed(op.report(widen(odd))) == expected
+
+
+def test_empty(empty, listed):
+    assert listed(op.report(empty)) == []
+    assert listed(op.representatives(empty)) == []
+
+
+def test_one_row_of_each_group_stays(odd, odd_rows, listed):
+    kept = listed(op.representatives(odd))
+    groups = {}
+    for (doc_id, _, component) in brute([r[:2] for r in odd_rows]):
+        groups.setdefault(component, set()).add(doc_id)
+    named = {c for c in groups if c is not None}
+    assert {r[0] for r in kept if r[0] is not None} == named
+    assert len([r for r in kept if r[0] is not None]) == len(named)
+    assert all(r in odd_rows for r in kept)
+    fps = {brute_fingerprint(r[1]) for r in odd_rows if r[0] is None}
+    assert len([r for r in kept if r[0] is None]) <= len(fps)
+
+
+def near(rng, value, bits):
+    for b in rng.sample(range(64), bits):
+        value ^= 1 << b
+    return value
+
+
+@pytest.mark.parametrize("tile", [op.TILE, 40])
+def test_links_connect_what_brute_force_connects(spark, tile):
+    rng = random.Random(5)
+    fps = [rng.getrandbits(64) for _ in range(60)]
+    for _ in range(240):  # chains and clusters around earlier ones
+        fps.append(near(rng, rng.choice(fps), rng.randint(1, 6)))
+    fps += [near(rng, 0, 2) for _ in range(150)] + [0, (1 << 64) - 1]
+    fps = sorted(set(fps))
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
+    edges = op.links(spark.createDataFrame(signed, "fp long"), tile=tile)
+    found = {r["node"] % (1 << 64): r["label"] % (1 << 64) for r in op.components(edges).collect()}
+    for r in edges.collect():
+        assert (r["a"] % (1 << 64) ^ r["b"] % (1 << 64)).bit_count() <= 4
+    ours, theirs = {}, {}
+    for f, label in zip(fps, brute_components(fps)):
+        ours.setdefault(found.get(f, f), set()).add(f)
+        theirs.setdefault(label, set()).add(f)
+    assert sorted(map(sorted, ours.values())) == sorted(map(sorted, theirs.values()))
+
+
+def test_bit_sliced_distances():
+    rng = np.random.default_rng(1)
+    left = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
+    flips = rng.integers(0, 12, 500)
+    right = left.copy()
+    for i, n in enumerate(flips):
+        for b in rng.choice(64, n, replace=False):
+            right[i] ^= np.uint64(1) << np.uint64(b)
+    assert (op._pairs_within(left, right, 4) == (flips <= 4)).all()
+
+
+def test_every_near_pair_shares_a_table():
+    masks = [m % (1 << 64) for m in op.band_masks()]
+    rng = random.Random(2)
+    for _ in range(300):
+        a = rng.getrandbits(64)
+        b = near(rng, a, 4)
+        assert any(a & m == b & m for m in masks)
+
+
+def test_long_chain(spark):
+    rows = [(k, k + 1) for k in range(300)] + [(1000, 1001)]
+    found = {r["node"]: r["label"] for r in op.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert found == {**{k: 0 for k in range(301)}, 1000: 1000, 1001: 1000}

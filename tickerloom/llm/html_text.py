@@ -1,7 +1,7 @@
 """Main text of web pages by template deduction from equivalence classes.
 
-Tokens are elements, named by their path (tag and class or id of every open element), and text
-runs at a path. A token's occurrence vector is its count on each page of the host; instead of the
+Tokens are elements, named by their path (tag and class or id of every open element), and the text
+of a whole block at a path. A token's occurrence vector is its count on each page of the host; instead of the
 vector, Spark aggregates its support, its total and two sums of hashes of (page, count), which
 are equal for equal vectors. Tokens of a host that share a vector are an equivalence class.
 
@@ -10,8 +10,8 @@ are equal for equal vectors. Tokens of a host that share a vector are an equival
   an average page.
 * A class is valid if it nests: all its elements whose parents are not of the class hang below
   elements of one other class.
-* The valid classes, nested by their paths, are the template. Text runs of the class that is
-  once on every page are template text. What is left are slots, named by their innermost template
+* The valid classes, nested by their paths, are the template. Blocks of the class that is once
+  on every page are template text. What is left are slots, named by their innermost template
   element; a slot of menu-like elements (mostly link text) or below a boilerplate element is dropped.
 
 The page's main element (article, else main, else body) bounds the text. Elements of no template
@@ -166,70 +166,65 @@ def clean(raw):
     return " ".join(html.unescape(raw).split())
 
 
+def blocks(found):
+    """(path, level, text) of the blocks outside boilerplate; the path is that of their first run.
+
+    The level is 2 in an article, 1 in another main element, 0 elsewhere.
+    """
+    first, runs = None, []
+    for kind, element, raw in found:
+        text_here = kind in ("text", "space") and not element.dropped
+        if kind == "break" or (text_here and first is not None and first.main != element.main):
+            text = clean("".join(runs))
+            if text:
+                yield first.path, first.main, text
+            first, runs = None, []
+        if text_here:
+            first = first or element
+            runs.append(raw or " ")
+    text = clean("".join(runs))
+    if text:
+        yield first.path, first.main, text
+
+
 def main_text(page, menus=(), constants=frozenset()):
     """Blocks of the main element without boilerplate, menu slots and template text.
 
     `menus` is a tuple of paths that end with a slash.
     """
-    found = {0: [], 1: [], 2: []}
-    block, level, any_article, any_main = [], None, False, False
+    found = list(events(page or ""))
+    level = max((e.main for kind, e, _ in found if kind == "open" and not e.dropped), default=0)
+    return "\n".join(
+        text
+        for path, main, text in blocks(found)
+        if main >= level
+        and not (menus and f"{path}/".startswith(menus))
+        and not (constants and block_hash(path, text) in constants)
+    )
 
-    def flush():
-        nonlocal block
-        text = clean("".join(block))
-        if text:
-            found[level].append(text)
-        block = []
 
-    for kind, element, raw in events(page or ""):
-        if kind == "open":
-            if not element.dropped:
-                any_article |= element.main == 2
-                any_main |= element.main >= 1
-        elif kind == "break":
-            if block:
-                flush()
-        elif element.dropped:
-            continue
-        elif kind == "space":
-            block.append(" ")
-        elif not (menus and f"{element.path}/".startswith(menus)):
-            text = clean(raw)
-            if text and constants and run_hash(element.path, text) in constants:
-                continue
-            if block and level != element.main:
-                flush()
-            level = element.main
-            block.append(raw)
-    if block:
-        flush()
-    if any_article:
-        return "\n".join(found[2])
-    return "\n".join(found[1] if any_main else found[0])
-
-
-def run_hash(path, text):
+def block_hash(path, text):
     return xxhash.xxh64_intdigest(f"{path}\0{text}".encode("utf-8", "surrogatepass")) >> 1
 
 
 def page_tokens(page):
-    """{(path, run): [count, chars, link chars, links]}: run 0 is the element itself."""
+    """{(path, block): [count, chars, link chars, links]}: block 0 is the element itself."""
     tokens = {("", 0): [1, 0, 0, 0]}
-    for kind, element, raw in events(page or ""):
+    found = list(events(page or ""))
+    for kind, element, raw in found:
         if kind == "open":
-            entry = tokens.setdefault((element.path, 0), [0, 0, 0, 0])
-            entry[0] += 1
+            tokens.setdefault((element.path, 0), [0, 0, 0, 0])[0] += 1
             if element.tag == "a":
                 for path in _ancestors(element.path):
                     tokens[path, 0][3] += 1
         elif kind == "text":
-            text = clean(raw)
-            if text:
-                tokens.setdefault((element.path, run_hash(element.path, text)), [0, 0, 0, 0])[0] += 1
-                for path in _ancestors(element.path):
-                    entry = tokens[path, 0]
-                    entry[1] += len(text)
-                    entry[2] += len(text) * element.link
+            size = len(clean(raw))
+            for path in _ancestors(element.path) if size else ():
+                entry = tokens[path, 0]
+                entry[1] += size
+                entry[2] += size * element.link
+    for path, _, text in blocks(found):
+        tokens.setdefault((path, block_hash(path, text)), [0, 0, 0, 0])[0] += 1
     return tokens
 
 
@@ -245,7 +240,7 @@ def host_of(url):
 
 
 _SUMS = ["support", "total", "low", "high", "chars", "link_chars", "links"]
-_TOKENS = "host string, path string, run long, " + ", ".join(f"{c} long" for c in _SUMS)
+_TOKENS = "host string, path string, block long, " + ", ".join(f"{c} long" for c in _SUMS)
 
 
 def _count_tokens(batches):
@@ -253,17 +248,17 @@ def _count_tokens(batches):
         sums = {}
         for page_id, url, page in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
             host = host_of(url)
-            for (path, run), (n, chars, link_chars, links) in page_tokens(page).items():
+            for (path, block), (n, chars, link_chars, links) in page_tokens(page).items():
                 mark = xxhash.xxh64_intdigest(f"{page_id}\0{url}\0{n}")
                 row = (1, n, mark & 0xFFFFFFFF, mark >> 32, chars, link_chars, links)
-                old = sums.get((host, path, run))
-                sums[host, path, run] = row if old is None else tuple(map(int.__add__, old, row))
+                old = sums.get((host, path, block))
+                sums[host, path, block] = row if old is None else tuple(map(int.__add__, old, row))
         keys = list(zip(*sums)) or [[], [], []]
         values = list(zip(*sums.values())) or [[]] * len(_SUMS)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.string()), pa.array(keys[2], pa.int64())]
             + [pa.array(v, pa.int64()) for v in values],
-            names=["host", "path", "run", *_SUMS],
+            names=["host", "path", "block", *_SUMS],
         )
 
 
@@ -274,22 +269,22 @@ def _pages(pages, id_col, url_col, html_col):
 
 
 def equivalence_classes(pages, id_col="page_id", url_col="url", html_col="html"):
-    """Frequent tokens (host, path, run) with their class (`vector`), its parent and `valid`."""
+    """Frequent tokens (host, path, block) with their class (`vector`), its parent and `valid`."""
     rows = _pages(pages, id_col, url_col, html_col).mapInArrow(_count_tokens, _TOKENS)
-    tokens = rows.groupBy("host", "path", "run").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    tokens = rows.groupBy("host", "path", "block").agg(*[F.sum(c).alias(c) for c in _SUMS])
     vector = F.struct("support", "total", "low", "high").alias("vector")
-    tokens = staged(tokens.where(F.col("support") > 1).select("host", "path", "run", vector, *_SUMS[4:]), "tokens")
+    tokens = staged(tokens.where(F.col("support") > 1).select("host", "path", "block", vector, *_SUMS[4:]), "tokens")
     hosts = tokens.where("path = ''").select("host", F.col("vector").alias("everywhere"))
     hosts = hosts.where(F.col("everywhere.support") >= MIN_PAGES)
     frequent = tokens.join(hosts, "host").where(
         F.col("vector.support") >= F.col("everywhere.support") * MIN_SHARE
     )
-    # A text run is template text only in the class of what is once on every page.
-    frequent = frequent.where((F.col("run") == 0) | (F.col("vector") == F.col("everywhere")))
-    above = frequent.where("run = 0").select(
+    # A block is template text only in the class of what is once on every page.
+    frequent = frequent.where((F.col("block") == 0) | (F.col("vector") == F.col("everywhere")))
+    above = frequent.where("block = 0").select(
         "host", F.col("path").alias("above"), F.col("vector").alias("parent")
     )
-    parent_path = F.when(F.col("run") != 0, F.col("path")).otherwise(
+    parent_path = F.when(F.col("block") != 0, F.col("path")).otherwise(
         F.regexp_replace("path", "/[^/]*$", "")
     )
     placed = frequent.withColumn("above", parent_path).join(above, ["host", "above"], "left")
@@ -305,7 +300,7 @@ def templates(pages, id_col="page_id", url_col="url", html_col="html"):
     tokens = equivalence_classes(pages, id_col, url_col, html_col).where("valid")
     pages_with = F.col("vector.support")
     menu = (
-        (F.col("run") == 0)
+        (F.col("block") == 0)
         & F.regexp_extract("path", "/([^/.]*)[^/]*$", 1).isin("ul", "ol", "div", "section", "table")
         & (F.col("link_chars") >= F.col("chars") * LINK_SHARE)
         & (F.col("links") >= pages_with * MIN_LINKS)
@@ -313,7 +308,7 @@ def templates(pages, id_col="page_id", url_col="url", html_col="html"):
     )
     return tokens.groupBy("host").agg(
         F.collect_list(F.when(menu, F.col("path"))).alias("menus"),
-        F.collect_list(F.when(F.col("run") != 0, F.col("run"))).alias("constants"),
+        F.collect_list(F.when(F.col("block") != 0, F.col("block"))).alias("constants"),
     )
 
 
