@@ -43,12 +43,6 @@ def zscore_of(value, mean, std, eps=STD_EPS) -> Column:
     return (as_column(value) - as_column(mean)) / (as_column(std) + F.lit(eps))
 
 
-def full_window(aggregate, value, window, rows) -> Column:
-    """`aggregate(value)` over `window`, NULL until it holds `rows` values."""
-    value = as_column(value)
-    return F.when(F.count(value).over(window) == rows, aggregate(value).over(window))
-
-
 def pearson(x, y) -> Column:
     """Sample correlation over the rows where both are present; NULL if either is constant."""
     x, y = as_column(x), as_column(y)

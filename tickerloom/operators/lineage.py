@@ -1,10 +1,10 @@
-"""Reliable checkpoints and size-checked broadcasts."""
-
-import tempfile
+"""Written stages and size-checked broadcasts."""
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.stages import staged
+
 BROADCAST_ROWS = 1_000_000
 # Days a DATE can name (years 1 to 9999): the most rows a table keyed by date can have.
 CALENDAR_DAYS = 3_652_059
@@ -12,16 +12,8 @@ NARROW_COLUMNS = 8
 
 
 def cut_lineage(df):
-    """Checkpoint into the shared folder that `spark.checkpoint.dir` names."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="run-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    """`df` as a Parquet stage in the shared folder; see `sources.stages`."""
+    return staged(df, "stage", "snappy")
 
 
 def checked_broadcast(small, max_rows=BROADCAST_ROWS):

@@ -9,20 +9,24 @@ windows are partitioned by (group, chunk):
   groups, so a chunk holds about `rows_per_task` rows and never fewer than
   `SAMPLES_PER_CHUNK`;
 * the sample is chosen by a hash of the row's key, so a recomputed task picks the
-  same rows and the same cut points;
-* cut points, chunk counts and the few rows around the cuts are checkpointed, so the
+  same rows and the same cut points; it is numbered, and only the cut points are gathered;
+* cut points, chunk counts and the few rows around the cuts are written stages, so the
   rows themselves appear once in the plan.
 
+Rows without a key are a group like any other. Bars by symbol need no count: a symbol has
+at most one bar per calendar day, which is fewer than `ROWS_PER_TASK`.
+
 Broadcast tables here have at most (all rows / rows_per_task) groups or cut points.
 """
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .lineage import cut_lineage
+from .lineage import CALENDAR_DAYS, cut_lineage
 
 ROWS_PER_TASK = 5_000_000
 SAMPLES_PER_CHUNK = 64
@@ -42,6 +46,23 @@ def count_groups(sizes):
     return row[0], row[1] or 0
 
 
+def join_keys(rows, few, keys, how):
+    """Join a broadcast table of few rows on keys that may be NULL."""
+    named = few.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return rows.join(F.broadcast(named), same, how).drop(*[f"_key_{k}" for k in keys])
+
+
+def bounded_by_calendar(df, keys, order, rows_per_task):
+    """Whether a group is one bar per calendar day at most (the contract of `bars`)."""
+    return (
+        list(keys) == ["symbol"]
+        and list(order) == ["date"]
+        and isinstance(df.schema["date"].dataType, T.DateType)
+        and rows_per_task >= CALENDAR_DAYS
+    )
+
+
 def cut_points(df, keys, order, sizes=None, rows_per_task=ROWS_PER_TASK):
     """`keys`, `_cuts`, the sorted first rows of chunks 1, 2, ... of each large group, and
     `_steps`, one element per step of a binary search in them.
@@ -49,31 +70,39 @@ def cut_points(df, keys, order, sizes=None, rows_per_task=ROWS_PER_TASK):
     None if no group is large. The functions below take the result as `points`, or the
     other arguments to find it themselves.
     """
+    if bounded_by_calendar(df, keys, order, rows_per_task):
+        return None
     sizes = group_sizes(df, keys) if sizes is None else sizes
     if count_groups(sizes)[1] <= rows_per_task:
         return None
     large = sizes.where(F.col("_rows") > rows_per_task).select(*keys)
     threshold = min(1.0, SAMPLES_PER_CHUNK / rows_per_task) * _HASH_RANGE
-    sampled = (
-        df.select(*keys, *order)
-        .where(F.pmod(F.xxhash64(*keys, *order), F.lit(_HASH_RANGE)) < F.lit(int(threshold)))
-        .join(F.broadcast(large), list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_marks"))
+    marks = join_keys(
+        df.select(*keys, *order).where(
+            F.pmod(F.xxhash64(*keys, *order), F.lit(_HASH_RANGE)) < F.lit(int(threshold))
+        ),
+        large,
+        keys,
+        "left_semi",
     )
-
-    def starts_chunk(_, i):
-        return (
-            (i > 0)
-            & (i % SAMPLES_PER_CHUNK == 0)
-            & (i + SAMPLES_PER_CHUNK <= F.size("_marks"))
-        )
-
-    cuts = F.array_distinct(F.filter("_marks", starts_chunk)).alias("_cuts")
-    steps = F.greatest(F.ceil(F.log2(F.size("_cuts") + 1)).cast("int"), F.lit(1))
-    return cut_lineage(
-        sampled.select(*keys, cuts).withColumn("_steps", F.sequence(F.lit(1), steps))
+    group = Window.partitionBy(*keys)
+    numbered = marks.withColumns(
+        {
+            "_mark": F.row_number().over(group.orderBy(*order)) - 1,
+            "_left": F.row_number().over(group.orderBy(*[F.desc(c) for c in order])),
+        }
+    )
+    starts_chunk = (
+        (F.col("_mark") > 0)
+        & (F.col("_mark") % SAMPLES_PER_CHUNK == 0)
+        & (F.col("_left") >= SAMPLES_PER_CHUNK)
     )
+    # One row per `rows_per_task` rows is left.
+    cuts = numbered.where(starts_chunk).groupBy(*keys).agg(
+        F.array_distinct(F.array_sort(F.collect_list(F.struct(*order)))).alias("_cuts")
+    )
+    steps = F.greatest(F.ceil(F.log2(F.size("_cuts") + 1)).cast("int"), F.lit(1))
+    return cut_lineage(cuts.withColumn("_steps", F.sequence(F.lit(1), steps)))
 
 
 def _chunk_of(cuts, steps, row):
@@ -104,7 +133,7 @@ def _place(df, keys, order, points, how="left"):
         return df.withColumn("_chunk", F.lit(0))
     chunk = _chunk_of(F.col("_cuts"), F.col("_steps"), F.struct(*order))
     return (
-        df.join(F.broadcast(points), list(keys), how)
+        join_keys(df, points, keys, how)
         .withColumn("_chunk", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(chunk))
         .drop("_cuts", "_steps")
     )
@@ -134,7 +163,7 @@ def _number(df, keys, order, points):
         return rows.withColumn("_pos", number)
     earlier = cut_lineage(_chunk_counts(df, keys, order, points).drop("_n"))
     return (
-        rows.join(F.broadcast(earlier), [*keys, "_chunk"], "left")
+        join_keys(rows, earlier, [*keys, "_chunk"], "left")
         .withColumn("_pos", F.coalesce("_before", F.lit(0)) + number)
         .drop("_before")
     )
@@ -198,26 +227,27 @@ def with_average_rank(df, keys, value, ties, **skew):
     """
     order = [value, *ties]
     points = cut_points(df, keys, order, **skew)
+    if points is None:
+        # One sort: the ties of a row are the rows of its RANGE frame.
+        by_value = Window.partitionBy(*keys).orderBy(value)
+        ties_too = F.count(F.lit(1)).over(by_value.rangeBetween(Window.currentRow, Window.currentRow))
+        return df.withColumn("_rank", F.rank().over(by_value) + (ties_too - 1) / F.lit(2.0))
     run = Window.partitionBy(*keys, "_chunk", value)
     ranked = _number(df, keys, order, points)
-    first, last = F.min("_pos").over(run), F.max("_pos").over(run)
-    if points is not None:
-        cut_values = (
-            points.select(*keys, F.explode("_cuts").alias("_cut"))
-            .select(*keys, F.col(f"_cut.{value}").alias(value))
-            .distinct()
-        )
-        cut_runs = cut_lineage(
-            _number(df.select(*keys, *order), keys, order, points)
-            .join(F.broadcast(cut_values), [*keys, value], "left_semi")
-            .groupBy(*keys, value)
-            .agg(F.min("_pos").alias("_run_first"), F.max("_pos").alias("_run_last"))
-        )
-        ranked = ranked.withColumns({"_first": first, "_last": last}).join(
-            F.broadcast(cut_runs), [*keys, value], "left"
-        )
-        first = F.coalesce("_run_first", "_first")
-        last = F.coalesce("_run_last", "_last")
+    cut_values = (
+        points.select(*keys, F.explode("_cuts").alias("_cut"))
+        .select(*keys, F.col(f"_cut.{value}").alias(value))
+        .distinct()
+    )
+    cut_runs = cut_lineage(
+        _number(df.select(*keys, *order), keys, order, points)
+        .transform(join_keys, cut_values, [*keys, value], "left_semi")
+        .groupBy(*keys, value)
+        .agg(F.min("_pos").alias("_run_first"), F.max("_pos").alias("_run_last"))
+    )
+    ranked = ranked.withColumns({"_first": F.min("_pos").over(run), "_last": F.max("_pos").over(run)})
+    ranked = join_keys(ranked, cut_runs, [*keys, value], "left")
+    first, last = F.coalesce("_run_first", "_first"), F.coalesce("_run_last", "_last")
     return ranked.withColumn("_rank", (first + last) / F.lit(2.0)).drop(
         "_pos", "_chunk", "_first", "_last", "_run_first", "_run_last"
     )
@@ -226,37 +256,37 @@ def with_average_rank(df, keys, value, ties, **skew):
 def quantiles(df, keys, value, probabilities, ties, join_sizes, **skew):
     """Exact linearly interpolated quantiles: `keys`, `_n` and the array `_quantiles`.
 
-    NULL values are left out. Of a large group, only the chunks that hold a quantile are
-    sorted. `join_sizes(rows, counts)` joins the one-row-per-group table `counts` to `rows`.
+    NULL values are left out. Without a large group, one aggregate finds them. Of a large
+    group, only the chunks that hold a quantile are sorted. `join_sizes(rows, counts)` joins
+    the one-row-per-group table `counts` to `rows`.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, value, *ties)
     points = cut_points(rows, keys, [value, *ties], **skew)
+    if points is None:
+        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+        return rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_n"), F.percentile(value, wanted).alias("_quantiles")
+        )
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     at = [F.lit(float(p)) * (F.col("_n") - F.lit(1)) for p in probabilities]
     wanted = [bound(t) + 1 for t in at for bound in (F.floor, F.ceil)]
-    if points is None:
-        # Any order of equal values gives the same quantiles; `ties` only help to cut them.
-        numbered = _number(rows.select(*keys, value), keys, [value], None)
-    else:
-        order = [value, *ties]
-        chunks = _chunk_counts(rows, keys, order, points).withColumnRenamed("_n", "_in_chunk")
-        holds = [
-            (w > F.col("_before")) & (w <= F.col("_before") + F.col("_in_chunk")) for w in wanted
-        ]
-        needed = cut_lineage(
-            chunks.withColumn("_n", F.sum("_in_chunk").over(Window.partitionBy(*keys)))
-            .where(reduce(or_, holds))
-            .select(*keys, "_chunk", "_before")
-        )
-        large = _place(rows, keys, order, points, "inner").join(
-            F.broadcast(needed), [*keys, "_chunk"]
-        )
-        zero = F.lit(0)
-        others = rows.join(F.broadcast(points.select(*keys)), list(keys), "left_anti")
-        others = others.withColumns({"_chunk": zero, "_before": zero.cast("bigint")})
-        numbered = large.unionByName(others).withColumn(
-            "_pos", F.col("_before") + _number_in_chunk(keys, order)
-        )
+    order = [value, *ties]
+    chunks = _chunk_counts(rows, keys, order, points).withColumnRenamed("_n", "_in_chunk")
+    holds = [
+        (w > F.col("_before")) & (w <= F.col("_before") + F.col("_in_chunk")) for w in wanted
+    ]
+    needed = cut_lineage(
+        chunks.withColumn("_n", F.sum("_in_chunk").over(Window.partitionBy(*keys)))
+        .where(reduce(or_, holds))
+        .select(*keys, "_chunk", "_before")
+    )
+    large = join_keys(_place(rows, keys, order, points, "inner"), needed, [*keys, "_chunk"], "inner")
+    zero = F.lit(0)
+    others = join_keys(rows, points.select(*keys), keys, "left_anti")
+    others = others.withColumns({"_chunk": zero, "_before": zero.cast("bigint")})
+    numbered = large.unionByName(others).withColumn(
+        "_pos", F.col("_before") + _number_in_chunk(keys, order)
+    )
     found = (
         join_sizes(numbered, counts)
         .where(reduce(or_, [F.col("_pos") == w for w in wanted]))

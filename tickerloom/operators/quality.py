@@ -14,7 +14,6 @@ LOW_VARIANCE = 1e-6
 LEAK = 0.95
 STRONG = 0.2
 FLAT = 0.001
-DISPERSION_DATES = 100
 
 
 def rows_of(df, entries):
@@ -140,21 +139,24 @@ def leakage_check(df, columns=None, targets=TARGETS, top=5):
     )
 
 
-def dispersion(df, columns=None, dates=DISPERSION_DATES, seed=SEED):
-    """One row: mean over `dates` dates (all, if fewer) of the mean deviation of the features.
+def dispersion(df, columns=None, dates=None, seed=SEED):
+    """One row: mean over the dates of the mean deviation of the features.
 
-    The dates are those with the smallest md5; dates with one row are chosen but not used.
+    A caller may ask for a sample of `dates` dates, those with the smallest md5. Dates with
+    one row are not used.
     """
     columns = feature_columns(df) if columns is None else columns
-    chosen = (
-        df.select("date")
-        .distinct()
-        .orderBy(F.md5(F.concat(F.col("date").cast("string"), F.lit(str(seed)))), "date")
-        .limit(dates)
-    )
+    rows = df
+    if dates is not None:
+        chosen = (
+            df.select("date")
+            .distinct()
+            .orderBy(F.md5(F.concat(F.col("date").cast("string"), F.lit(str(seed)))), "date")
+            .limit(dates)
+        )
+        rows = df.join(F.broadcast(chosen), "date", "left_semi")
     per_date = (
-        df.join(F.broadcast(chosen), "date", "left_semi")
-        .groupBy("date")
+        rows.groupBy("date")
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.array(*[F.stddev_samp(c) for c in columns]).alias("_devs"),

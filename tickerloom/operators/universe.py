@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.names import TICKER_SUFFIX, extract_ticker, ticker_equals
+from ..functions.names import TICKER_SUFFIX, extract_ticker
 from ..functions.numeric import count_where
 from .lineage import checked_broadcast
 
@@ -26,11 +26,17 @@ def with_ticker(manifest):
 
 
 def matched_files(manifest, symbols):
-    """Non-empty files of the listed symbols; `file_path` is relative to the data folder."""
+    """Non-empty files of the listed symbols in ticker order.
+
+    `file_path` is relative to the data folder.
+    """
     files = with_ticker(manifest).where(F.col("length") > 0)
-    return files.join(checked_broadcast(symbols), "ticker", "left_semi").select(
-        "ticker", "file_name", F.concat(F.lit("Stocks/"), "file_name").alias("file_path")
-    )
+    listed = files.join(checked_broadcast(symbols), "ticker", "left_semi")
+    return listed.select("ticker", "file_name", file_path()).orderBy("ticker", "file_name")
+
+
+def file_path():
+    return F.concat(F.lit("Stocks/"), "file_name").alias("file_path")
 
 
 def empty_files(manifest, symbols=None):
@@ -38,7 +44,7 @@ def empty_files(manifest, symbols=None):
     files = with_ticker(manifest).where(F.col("length") == 0)
     if symbols is not None:
         files = files.join(checked_broadcast(symbols), "ticker", "left_semi")
-    return files.select("ticker", "file_name")
+    return files.select("ticker", "file_name", file_path()).orderBy("ticker", "file_name")
 
 
 def missing_symbols(manifest, symbols):
@@ -74,7 +80,3 @@ def universe_bars(bars, symbols):
         checked_broadcast(symbols.withColumnRenamed("ticker", "symbol")), "symbol", "left_semi"
     )
 
-
-def bars_of(bars, ticker):
-    """Bars of one ticker, in any case."""
-    return bars.where(ticker_equals("symbol", F.lit(ticker)))

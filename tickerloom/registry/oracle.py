@@ -230,6 +230,26 @@ daily_rank AS (
   SELECT date, count(*) AS n, {correlation('p', 't')} AS rank_ic
   FROM ranks GROUP BY date HAVING count(*) > 1)"""
 
+NORMALISED = ", ".join(f"coalesce({zscore(c, 'date')}, 0) AS {c}" for c in FEATURES)
+TRAINING = f"""{BARS}, {features_of()}, {COMPLETE_FEATURES},
+long_enough AS (
+  SELECT * FROM complete
+  WHERE symbol IN (SELECT symbol FROM complete GROUP BY symbol HAVING count(*) >= 60)),
+smoothed AS (
+  SELECT *, least(greatest(avg(target_5) OVER (
+              PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+              -3.0::DOUBLE), 3.0::DOUBLE) AS smooth
+  FROM long_enough),
+training AS (
+  SELECT date, symbol, {NORMALISED}, target_5 AS target_raw,
+         epoch(date) / 86400.0::DOUBLE >
+           (SELECT floor(quantile_cont(epoch(date) / 86400.0::DOUBLE, 0.8::DOUBLE)) FROM smoothed)
+           AS is_test,
+         (smooth - avg(smooth) OVER ()) / (stddev_samp(smooth) OVER () + 1e-8::DOUBLE) AS target_smooth,
+         (rank() OVER (ORDER BY date) + (count(*) OVER (PARTITION BY date) - 1) / 2.0::DOUBLE)
+           / count(*) OVER () AS time_rank
+  FROM smoothed)"""
+
 RAW = f"""{BARS},
 defects AS (
   SELECT CASE WHEN day(date) % 13 = 0 THEN 'bad' ELSE CAST(date AS VARCHAR) END AS "Date",
@@ -681,13 +701,9 @@ ORACLE = {
     ),
     "dispersion": query(
         f"""{BARS}, {RETURNED},
-        picked AS (
-          SELECT date FROM (SELECT DISTINCT date FROM returned)
-          ORDER BY md5(CAST(date AS VARCHAR) || '42'), date LIMIT 100),
         devs AS (
           SELECT date, [stddev_samp(close), stddev_samp(return_1d), stddev_samp(return_5d)] AS d
-          FROM returned WHERE date IN (SELECT date FROM picked)
-          GROUP BY date HAVING count(*) > 1)""",
+          FROM returned GROUP BY date HAVING count(*) > 1)""",
         listing("count(*) AS dates", s9("avg(list_avg(d))", "avg_dispersion")),
         "devs",
     ),
@@ -780,7 +796,7 @@ ORACLE = {
     ),
     "universe_empty": query(
         UNIVERSE,
-        "ticker, file_name",
+        "ticker, file_name, 'Stocks/' || file_name AS file_path",
         "manifest",
         "WHERE length = 0 AND ticker IN (SELECT ticker FROM symbols)",
     ),
@@ -851,4 +867,22 @@ ORACLE = {
         "checked",
         "UNION ALL SELECT 'all', count(*) FILTER (NOT ok), bool_and(ok) FROM checked",
     ),
+    "training_table": query(
+        TRAINING,
+        listing(
+            "date",
+            "symbol",
+            "is_test",
+            *[r6(c) for c in FEATURES],
+            *[r6(c) for c in ("target_smooth", "target_raw", "time_rank")],
+            r6("exp(1.5::DOUBLE * time_rank)", "sample_weight"),
+        ),
+        "training",
+    ),
+    "train_predict_checks": query(
+        TRAINING,
+        "date, count(*) AS names, true AS finite, true AS weights_sum, true AS few_longs",
+        "training",
+        "WHERE is_test GROUP BY date HAVING count(*) > 1",
+    ),
 }

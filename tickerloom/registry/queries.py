@@ -425,10 +425,32 @@ def guardrail(spark, d):
 # Model
 
 
+def training_table(spark, d):
+    return rounded(training.training_table(cut_lineage(_features(spark, d))))
+
+
+def _trained(spark, d):
+    # The whole budget takes MLlib hours; patience and rate are scaled with it.
+    return training.train_predict(
+        cut_lineage(_features(spark, d)),
+        max_iter=20, max_depth=5, step_size=0.1, patience=5, long_pct=LONG_PCT,
+    )
+
+
 def train_predict(spark, d):
-    features_once = cut_lineage(_features(spark, d))
-    trained = training.train_predict(features_once, max_iter=3, max_depth=3, long_pct=LONG_PCT)
-    return trained.predictions
+    return _trained(spark, d).predictions
+
+
+def train_predict_checks(spark, d):
+    """What holds for any model, per test date."""
+    p = _trained(spark, d).predictions
+    total, longs = F.sum("weight"), F.count(F.when(F.col("weight") > 0, 1))
+    return p.groupBy("date").agg(
+        F.count(F.lit(1)).alias("names"),
+        F.min(F.abs("prediction") < float("inf")).alias("finite"),
+        ((F.abs(total - 1) < 1e-9) | (F.abs(total) < 1e-9)).alias("weights_sum"),
+        (longs <= F.floor(F.count(F.lit(1)) * LONG_PCT) + 1).alias("few_longs"),
+    )
 
 
 QUERIES = {
@@ -501,5 +523,7 @@ QUERIES = {
     "typed_bars": typed_bars,
     "precheck": precheck,
     "guardrail": guardrail,
+    "training_table": training_table,
     "train_predict": train_predict,
+    "train_predict_checks": train_predict_checks,
 }

@@ -32,9 +32,13 @@ RAW_BARS = T.StructType(
 )
 
 
+# Folder column of tables written by year.
+YEAR = "year"
+
+
 def feature_columns(df, exclude=()):
-    """Everything that is not a key, a target or listed in `exclude`."""
-    skip = {"date", "symbol", *TARGETS, *exclude}
+    """Everything that is not a key, a target, the folder column or listed in `exclude`."""
+    skip = {"date", "symbol", YEAR, *TARGETS, *exclude}
     return [c for c in df.columns if c not in skip]
 
 

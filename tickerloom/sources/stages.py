@@ -26,6 +26,14 @@ def new_folder(spark, name):
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_stages(spark):
+    """Delete all stages of this application; tables read from them are gone as well."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df, name="stage", compression="zstd"):
     """Write `df` as Parquet and read it back: a lost executor costs nothing that is done."""
     path = new_folder(df.sparkSession, name)

@@ -3,6 +3,7 @@
 import posixpath
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import TICKER_SUFFIX, extract_symbol
 from ..operators.cleaning import parse_date
@@ -11,7 +12,6 @@ from ..schema import RAW_BARS
 
 # Label and folder of each kind of instrument.
 FOLDERS = {"stocks": ("stock", "Stocks"), "etfs": ("etf", "ETFs")}
-MAX_COLUMN_NAMES = 1000
 
 
 def source_folders(base, kind="both"):
@@ -39,7 +39,7 @@ def folder_exists(spark, path):
 def file_manifest(spark, folder, pattern="*" + TICKER_SUFFIX):
     """path, file_name and length of the matching files, empty ones included.
 
-    The listing is the one Spark itself makes to plan a scan; no file is opened.
+    Spark's own sources leave empty files out, so the file system is asked; no file is opened.
     """
     hadoop_path, fs = _hadoop(spark, posixpath.join(folder, pattern))
     found = fs.globStatus(hadoop_path) or []
@@ -47,10 +47,10 @@ def file_manifest(spark, folder, pattern="*" + TICKER_SUFFIX):
     return spark.createDataFrame(rows, "path string, file_name string, length bigint")
 
 
-def _cells(line):
-    return F.transform(
-        F.split(line, ","), lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")
-    )
+def _cells(line, width):
+    """The trimmed cells of a CSV line, quotes and doubled quotes resolved, at most `width`."""
+    cells = F.from_csv(line, ", ".join(f"c{k} string" for k in range(width)), {"escape": '"'})
+    return F.array(*[F.trim(cells[f"c{k}"]) for k in range(width)])
 
 
 def read_by_header(spark, folder, pattern="*.txt", schema=RAW_BARS):
@@ -58,7 +58,7 @@ def read_by_header(spark, folder, pattern="*.txt", schema=RAW_BARS):
 
     Columns are matched by name, so files may order them differently or lack some
     (NULL); further columns are kept as text. Adds `file_name`. Empty files give no rows.
-    A numeric cell that cannot be read is NULL.
+    A numeric cell that cannot be read is NULL. A quoted cell may hold commas, not line ends.
     """
     lines = (
         spark.read.option("pathGlobFilter", pattern)
@@ -78,32 +78,38 @@ def read_by_header(spark, folder, pattern="*.txt", schema=RAW_BARS):
         .groupBy("file_path")
         .agg(F.min_by("line", "id").alias("header"))
     )
-    names = _column_names(headers, schema)
+    width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0] or 1
+    names = _column_names(headers, width, schema)
     rows = (
         lines.join(checked_broadcast(headers), "file_path")
         .where(F.col("line") != F.col("header"))
-        .select("file_name", _cells(F.col("line")).alias("cells"), _cells(F.col("header")).alias("names"))
+        .select(
+            "file_name",
+            _cells(F.col("line"), width).alias("cells"),
+            _cells(F.col("header"), width).alias("names"),
+        )
     )
 
     def cell(name):
         at = F.array_position("names", name).cast("int")
         text = F.when(at > 0, F.get("cells", at - 1))
         text = F.when(text != "", text)
-        if name in schema.names and schema[name].dataType.typeName() != "string":
-            number = text.try_cast("double")
-            return number.try_cast(schema[name].dataType).alias(name)
-        return text.alias(name)
+        kind = schema[name].dataType if name in schema.names else T.StringType()
+        if isinstance(kind, T.IntegralType):
+            # Written as a whole number, or as one with decimals that are zero.
+            exact = text.try_cast("decimal(38,9)")
+            whole = F.when(exact == F.floor(exact), exact)
+            return F.coalesce(text.try_cast(kind), whole.try_cast(kind)).alias(name)
+        return text.try_cast(kind).alias(name)
 
     return rows.select(*[cell(n) for n in names], "file_name")
 
 
-def _column_names(headers, schema):
+def _column_names(headers, width, schema):
     """The schema's columns, then every other name found in a header."""
-    found = headers.select(F.explode(_cells(F.col("header"))).alias("name")).distinct()
-    names = [r["name"] for r in found.limit(MAX_COLUMN_NAMES + 1).collect()]
-    if len(names) > MAX_COLUMN_NAMES:
-        raise ValueError(f"more than {MAX_COLUMN_NAMES} column names: first lines are not headers")
-    return [*schema.names, *sorted(set(names) - set(schema.names) - {""})]
+    found = headers.select(F.explode(_cells(F.col("header"), width)).alias("name")).distinct()
+    names = {r["name"] for r in found.collect() if r["name"]}
+    return [*schema.names, *sorted(names - set(schema.names))]
 
 
 def merge_folders(spark, base, kind="both"):
