@@ -5,19 +5,19 @@
    anchor that occurs twice. Consecutive windows with one anchor form a segment.
 2. Candidates. Anchors are counted over the whole table; segments whose anchor occurs once are
    left out. Windows whose anchor is very frequent (at most HOT_ANCHORS such anchors exist) take
-   their least frequent-free anchor instead, so that a common line doesn't gather all that
+   the least of their other runs as anchor, so that a common line doesn't gather all that
    surrounds it in one place.
 3. Shards. Segments are dealt by anchor and sorted. A task cuts its part, between anchors, into
    shards of about SHARD_WORDS words, each with an FM-index: the Burrows-Wheeler transform of
-   the words in a wavelet matrix, its bit vectors with popcount ranks. The segments are streamed
-   through it from right to left by backward search. The matching statistics are cut at the
-   threshold: after each step the interval is widened to all rows that share WINDOW words, so
-   every window costs one step. The earliest position in a window's interval is its first
-   occurrence.
+   the words in a wavelet matrix, its bit vectors with popcount ranks. A segment that occurs
+   more often is there once, at its first place. The segments are streamed through it from right
+   to left by backward search. The matching statistics are cut at the threshold: after each step
+   the interval is widened to all rows that share WINDOW words, so every window costs one step.
+   The earliest position in a window's interval is its first occurrence.
 4. A window that starts later than its first occurrence is removed; runs are gathered per
    document, and the documents are cut.
 
-The table's texts are dealt out once, by id; steps 2 and 4 read that same exchange.
+The table's texts are dealt out once, by id; all later steps read that same exchange.
 
 Defined results: a null or empty text has no words; documents are ordered by id (null first),
 rows that share an id by text. Ids must be integers. Only the named columns are read.
@@ -35,12 +35,17 @@ from ..sources.stages import staged
 from .text import utf8
 
 WINDOW = 20
-GRAM = 8
+GRAM = 6
 HOT_ANCHORS = 100_000
 HOT_SEGMENTS = 20_000
 SHARD_WORDS = 500_000
-REMEMBERED = 200_000
+# Text bytes hashed at once.
+BLOCK_BYTES = 1 << 20
 NO_ID = -(1 << 63)
+# Bytes of a word's hash in the index, and of an anchor.
+HASH_BYTES = 6
+# A place is (copy of the document, first window, windows) in one number; START is one window.
+COPY, START = 1 << 40, 1 << 7
 # Windows in a segment; longer runs (text that repeats itself) are cut.
 LONGEST = 64
 GRAMS = WINDOW - GRAM + 1
@@ -56,8 +61,70 @@ def words_of(text):
     return utf8(text).split()
 
 
-def hashed(words):
-    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+def _powers(base, n):
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, base, np.uint64)]))
+
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE_VALUES = np.array([xxhash.xxh64_intdigest(bytes([b])) for b in range(256)], np.uint64)
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = _powers(np.uint64(_BASE), BLOCK_BYTES)
+_INVERSES = _powers(np.uint64(pow(_BASE, -1, 1 << 64)), BLOCK_BYTES)
+
+
+def _mixed(x):
+    x = x ^ (x >> np.uint64(29))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _word_hashes(data, edges):
+    """Start and 64-bit hash of every word of the texts that `edges` cut `data` into.
+
+    A word's hash is a polynomial over its bytes: a difference of prefix sums, shifted back.
+    """
+    space = _IS_SPACE[data]
+    begins = ~space
+    begins[1:] &= space[:-1]
+    inner = edges[:-1][edges[:-1] < len(data)]
+    begins[inner] = ~space[inner]
+    finishes = ~space
+    finishes[:-1] &= space[1:]
+    last = edges[1:][edges[1:] > edges[:-1]] - 1
+    finishes[last] = ~space[last]
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+    hashes = np.zeros(len(starts), np.uint64)
+    # Blocks begin with a word; a word longer than a block is summed up over several.
+    word = 0
+    while word < len(starts):
+        low = starts[word]
+        to = max(word + 1, int(np.searchsorted(ends, low + BLOCK_BYTES, side="right")))
+        for at in range(low, ends[to - 1], BLOCK_BYTES):
+            upto = min(at + BLOCK_BYTES, ends[to - 1])
+            sums = np.concatenate(
+                [[np.uint64(0)], np.cumsum(_BYTE_VALUES[data[at:upto]] * _POWERS[: upto - at])]
+            )
+            part = sums[np.minimum(ends[word:to], upto) - at] - sums[np.maximum(starts[word:to], at) - at]
+            shift = _INVERSES[np.maximum(starts[word:to], at) - at]
+            hashes[word:to] = _mixed(hashes[word:to]) + part * shift
+        word = to
+    return starts, _mixed(hashes + (ends - starts).astype(np.uint64))
+
+
+def groups(texts):
+    """(first row, hashes of all words, text of each word) for rows of about BLOCK_BYTES bytes."""
+    texts = texts.cast(pa.large_string())
+    edges = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else [0]
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    row = 0
+    while row < len(texts):
+        to = max(row + 1, int(np.searchsorted(edges, edges[row] + BLOCK_BYTES, side="right")) - 1)
+        cut = edges[row : to + 1] - edges[row]
+        starts, hashes = _word_hashes(data[edges[row] : edges[to]], cut)
+        yield row, to, hashes, np.searchsorted(cut, starts, side="right") - 1
+        row = to
 
 
 def _gram_hashes(h):
@@ -66,9 +133,7 @@ def _gram_hashes(h):
     out = np.zeros(n, np.uint64)
     for k in range(GRAM):
         out = out * _FACTOR + h[k : k + n]
-    out ^= out >> np.uint64(29)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    return out ^ (out >> np.uint64(32))
+    return _mixed(out) >> np.uint64(64 - 8 * HASH_BYTES)
 
 
 def _sliding_min(values, width):
@@ -81,11 +146,12 @@ def _sliding_min(values, width):
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def segments(h, hot=None):
+def segments(h, text=None, hot=None):
     """First window, number of windows and anchor of each segment of at most LONGEST windows.
 
-    `hot` (sorted) are anchors to avoid: they count as the largest value where another is at hand.
-    Also returns the hash of every run of GRAM words.
+    `text` numbers the text of every word; windows stay inside one. `hot` (sorted) are anchors to
+    avoid: they count as the largest value where another is at hand. Also returns the hash of
+    every run of GRAM words.
     """
     if len(h) < WINDOW:
         empty = np.zeros(0, np.int64)
@@ -97,11 +163,16 @@ def segments(h, hot=None):
         if is_hot.any():
             other = _sliding_min(np.where(_member(hot, grams), _LAST, grams), GRAMS)
             anchor = np.where(is_hot & (other != _LAST), other, anchor)
-    place = np.arange(len(anchor))
-    new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+    windows = np.arange(len(anchor))
+    if text is not None:
+        windows = np.flatnonzero(text[: len(anchor)] == text[WINDOW - 1 :])
+        anchor = anchor[windows]
+    place = np.arange(len(windows))
+    new = np.ones(len(windows), bool)
+    new[1:] = (anchor[1:] != anchor[:-1]) | (windows[1:] != windows[:-1] + 1)
     begun = np.maximum.accumulate(np.where(new, place, 0))
-    starts = np.flatnonzero((place - begun) % LONGEST == 0)
-    return starts, np.diff(np.append(starts, len(anchor))), anchor[starts], grams
+    first = np.flatnonzero((place - begun) % LONGEST == 0)
+    return windows[first], np.diff(np.append(first, len(windows))), anchor[first], grams
 
 
 def anchor_occurrences(starts, counts, anchors, grams):
@@ -124,75 +195,95 @@ def _member(ordered, values):
 
 def _count_anchors(batches):
     for batch in batches:
-        anchors, weights = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for text in batch.column("text").to_pylist():
-            found = segments(hashed(words_of(text)))
-            anchors.append(found[2])
-            weights.append(anchor_occurrences(*found))
-        values, place = np.unique(np.concatenate(anchors), return_inverse=True)
-        sums = np.bincount(place, np.concatenate(weights), len(values)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(values.view(np.int64)), pa.array(sums)], names=["anchor", "n"]
-        )
+        for _, _, h, text in groups(batch.column("text")):
+            found = segments(h, text)
+            values, place = np.unique(found[2], return_inverse=True)
+            sums = np.bincount(place, anchor_occurrences(*found), len(values)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values.view(np.int64)), pa.array(sums)], names=["anchor", "n"]
+            )
 
 
 def _list_segments(batches):
     for batch in batches:
-        keys, copies = batch.column("key").to_numpy(), batch.column("copy").to_numpy()
-        out = []
-        for key, copy, text in zip(keys, copies, batch.column("text").to_pylist()):
-            starts, counts, anchor, _ = segments(hashed(words_of(text)))
-            out.append((np.full(len(starts), key), np.full(len(starts), copy), starts, counts, anchor))
-        key, copy, start, n, anchor = (np.concatenate(c) for c in zip(*out)) if out else [np.zeros(0)] * 5
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(key.astype(np.int64)),
-                pa.array(copy.astype(np.int32)),
-                pa.array(start.astype(np.int32)),
-                pa.array(n.astype(np.int32)),
-                pa.array(anchor.astype(np.uint64).view(np.int64)),
-            ],
-            names=["key", "copy", "start", "n", "anchor"],
-        )
+        key, copy = batch.column("key").to_numpy(), batch.column("copy").to_numpy().astype(np.int64)
+        for row, to, h, text in groups(batch.column("text")):
+            starts, counts, anchors, _ = segments(h, text)
+            owner = text[starts]
+            start = starts - np.searchsorted(text, np.arange(to - row))[owner]
+            place = copy[row:to][owner] * COPY + start * START + counts
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[row:to][owner]), pa.array(place), pa.array(anchors.view(np.int64))],
+                names=["key", "place", "anchor"],
+            )
 
 
-def _cut_segments(hot, with_words):
-    """Every candidate segment by its digest; or its words, once per task and text."""
+def _located(batch):
+    """Per group of texts: all word hashes, and of every element of the array `found` that is of
+    this copy: its key, copy, first word of its text, first window, windows, anchor, further fields."""
+    found, keys = batch.column("found"), batch.column("key").to_numpy()
+    copies = batch.column("copy").to_numpy().astype(np.int64)
+    owner = np.repeat(np.arange(len(batch)), np.diff(found.offsets.to_numpy()))
+    place, *fields = found.flatten().flatten()
+    mine = place.to_numpy() // COPY == copies[owner]
+    owner, place = owner[mine], place.to_numpy()[mine]
+    fields = [f.filter(pa.array(mine)) for f in fields]
+    for row, to, h, text in groups(batch.column("text")):
+        low, high = np.searchsorted(owner, [row, to])
+        mine = owner[low:high]
+        base = np.searchsorted(text, np.arange(to - row))[mine - row]
+        start, n = place[low:high] % COPY // START, place[low:high] % START
+        columns = [c.tolist() for c in (keys[mine], copies[mine], base, start, n)]
+        yield h, zip(*columns, *(f.slice(low, high - low).to_pylist() for f in fields))
+
+
+def _shortened(h):
+    """HASH_BYTES bytes of each hash."""
+    return h.view(np.uint8).reshape(-1, 8)[:, -HASH_BYTES:].tobytes()
+
+
+def _batch_of(rows, **kinds):
+    columns = zip(*rows) if rows else [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds.values())], names=list(kinds)
+    )
+
+
+def _name_segments(hot):
+    """Every candidate segment with its anchor (not a hot one, where it can be) and digest."""
 
     def run(batches):
-        avoid, seen = hot.value, {}
+        avoid = set(hot.value.view(np.int64).tolist())
         for batch in batches:
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("key", "copy", "text", "found"))
-            for key, copy, text, found in zip(*columns):
-                found = [f for f in found if f["copy"] == copy]
-                if not found:
-                    continue
-                h = hashed(words_of(text))
-                for f in found:
-                    first, last = f["start"], f["start"] + f["n"] + WINDOW - 1
-                    starts, counts, anchors, _ = segments(h[first:last], avoid)
-                    for start, n, anchor in zip(starts.tolist(), counts.tolist(), anchors.view(np.int64).tolist()):
-                        words = h[first + start : first + start + n + WINDOW - 1].tobytes()
-                        name, place = xxhash.xxh128_digest(words), (key, copy, first + start)
-                        if not with_words:
-                            rows.append((*place, n, name))
-                        elif name not in seen or place < seen[name]:
-                            if len(seen) >= REMEMBERED:
-                                seen.clear()
-                            seen[name] = place
-                            rows.append((*place, anchor, name, words))
-            kinds = [pa.int64(), pa.int32(), pa.int32()]
-            kinds += [pa.int64(), pa.binary(), pa.binary()] if with_words else [pa.int32(), pa.binary()]
-            columns = list(zip(*rows)) or [[]] * len(kinds)
-            names = ["anchor", "name", "words"] if with_words else ["n", "name"]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["key", "copy", "start", *names]
-            )
+            for h, candidates in _located(batch):
+                raw, rows = _shortened(h), []
+                for key, copy, base, start, n, anchor in candidates:
+                    parts = [(start, n, anchor)]
+                    if anchor in avoid:
+                        first = base + start
+                        starts, counts, anchors, _ = segments(h[first : first + n + WINDOW - 1], hot=hot.value)
+                        parts = zip((starts + start).tolist(), counts.tolist(), anchors.view(np.int64).tolist())
+                    for start, n, anchor in parts:
+                        low, high = (base + start) * HASH_BYTES, (base + start + n + WINDOW - 1) * HASH_BYTES
+                        place = copy * COPY + start * START + n
+                        rows.append((key, place, anchor, xxhash.xxh128_digest(raw[low:high])))
+                yield _batch_of(rows, key=pa.int64(), place=pa.int64(), anchor=pa.int64(), name=pa.binary())
 
     return run
 
 
+def _cut_words(batches):
+    """The word hashes of the first occurrence of every segment."""
+    kinds = dict(key=pa.int64(), place=pa.int64(), anchor=pa.int64(), name=pa.binary(), words=pa.binary())
+    for batch in batches:
+        for h, chosen in _located(batch):
+            raw, rows = _shortened(h), []
+            for key, copy, base, start, n, anchor, name in chosen:
+                low, high = (base + start) * HASH_BYTES, (base + start + n + WINDOW - 1) * HASH_BYTES
+                rows.append((key, copy * COPY + start * START, anchor, name, raw[low:high]))
+            yield _batch_of(rows, **kinds)
+
+
 # Step 3: the index.
 
 
@@ -317,44 +408,53 @@ def first_occurrences(texts, places):
 
 
 def _search_shards(batches):
-    held, words, last = {}, 0, None
+    names, places, texts, words, last = [], [], [], 0, None
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("anchor", "name", "key", "copy", "start", "words"))
-        for anchor, name, key, copy, start, text in zip(*columns):
+        columns = (batch.column(c).to_pylist() for c in ("anchor", "name", "key", "place", "words"))
+        for anchor, name, key, place, text in zip(*columns):
             if anchor != last and words >= SHARD_WORDS:
-                yield from _shard(held)
-                held, words = {}, 0
+                yield from _shard(names, places, texts)
+                names, places, texts, words = [], [], [], 0
             last = anchor
-            place = (key, copy, start)
-            old = held.get(name)
-            if old is None:
-                held[name] = (place, np.frombuffer(text, np.uint64))
-                words += len(text) // 8
-            elif place < old[0]:
-                held[name] = (place, old[1])
-    if held:
-        yield from _shard(held)
-
-
-def _shard(held):
-    names, rows = list(held), list(held.values())
-    documents = sorted({place[:2] for place, _ in rows})
+            names.append(name)
+            places.append((key, place))
+            texts.append(text)
+            words += len(text) // HASH_BYTES
+    if names:
+        yield from _shard(names, places, texts)
+
+
+def _lengthened(text):
+    wide = np.zeros((len(text) // HASH_BYTES, 8), np.uint8)
+    wide[:, :HASH_BYTES] = np.frombuffer(text, np.uint8).reshape(-1, HASH_BYTES)
+    return wide.view(np.uint64)[:, 0]
+
+
+def _shard(names, places, texts):
+    """First occurrences per segment; none where its windows first occur in the segment itself."""
+    documents = sorted({(key, place // COPY) for key, place in places})
     number = {d: k for k, d in enumerate(documents)}
-    places = np.array([(number[p[:2]] << 32) + p[2] for p, _ in rows], np.int64)
-    found = first_occurrences([text for _, text in rows], places)
-    keys = np.array([d[0] for d in documents], np.int64)
-    copies = np.array([d[1] for d in documents], np.int32)
+    own = np.array([(number[k, p // COPY] << 32) + p % COPY // START for k, p in places], np.int64)
+    found = first_occurrences([_lengthened(t) for t in texts], own)
+    document_keys, document_copies = np.array(documents, np.int64).T
     for at in range(0, len(names), 4096):
-        part = found[at : at + 4096]
-        flat = np.concatenate(part)
-        offsets = pa.array(np.concatenate([[0], np.cumsum([len(f) for f in part])]).astype(np.int32))
-        lists = [
-            pa.ListArray.from_arrays(offsets, pa.array(values))
-            for values in (keys[flat >> 32], copies[flat >> 32], (flat & 0xFFFFFFFF).astype(np.int32))
-        ]
+        rows = range(at, min(at + 4096, len(names)))
+        elsewhere = [k if (found[k] != own[k] + np.arange(len(found[k]))).any() else None for k in rows]
+        flat = np.concatenate([found[k] for k in elsewhere if k is not None] or [np.zeros(0, np.int64)])
+        sizes = [0 if k is None else len(found[k]) for k in elsewhere]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        keys = document_keys[flat >> 32]
+        windows = document_copies[flat >> 32] * COPY + (flat & 0xFFFFFFFF) * START
+        own_keys, own_places = zip(*(places[k] for k in rows))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names[at : at + 4096], pa.binary()), *lists],
-            names=["name", "keys", "copies", "starts"],
+            [
+                pa.array(names[at : at + 4096], pa.binary()),
+                pa.array(own_keys, pa.int64()),
+                pa.array(own_places, pa.int64()),
+                pa.ListArray.from_arrays(offsets, pa.array(keys)),
+                pa.ListArray.from_arrays(offsets, pa.array(windows)),
+            ],
+            names=["name", "own_key", "own_place", "keys", "places"],
         )
 
 
@@ -364,24 +464,29 @@ def _shard(held):
 def _compare(batches):
     """Runs of words covered by windows that occur earlier."""
     for batch in batches:
-        n = batch.column("n").to_numpy()
+        place = batch.column("place").to_numpy()
+        n = place % START
         row = np.repeat(np.arange(len(n)), n)
-        offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        keys, copies, starts = (batch.column(c).flatten().to_numpy() for c in ("keys", "copies", "starts"))
-        own_key, own_copy = batch.column("key").to_numpy()[row], batch.column("copy").to_numpy()[row]
-        own_start = batch.column("start").to_numpy()[row] + offset
-        same = keys == own_key
-        later = (keys < own_key) | same & (
-            (copies < own_copy) | (copies == own_copy) & (starts < own_start)
-        )
-        first = np.flatnonzero(later & ~np.concatenate([[False], later[:-1] & (row[1:] == row[:-1])]))
-        last = np.flatnonzero(later & ~np.concatenate([later[1:] & (row[1:] == row[:-1]), [False]]))
+        offset = (np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)) * START
+
+        def first(own, listed, shift):
+            out = batch.column(own).to_numpy()[row] + shift
+            values = batch.column(listed)
+            out[(np.diff(values.offsets.to_numpy()) > 0)[row]] = values.flatten().to_numpy()
+            return out
+
+        keys, places = first("own_key", "keys", 0), first("own_place", "places", offset)
+        key, place = batch.column("key").to_numpy()[row], (place - n)[row] + offset
+        later = (keys < key) | (keys == key) & (places < place)
+        joined = later[:-1] & later[1:] & (row[1:] == row[:-1])
+        begins = np.flatnonzero(later & ~np.concatenate([[False], joined])[: len(later)])
+        ends = np.flatnonzero(later & ~np.concatenate([joined, [False]])[: len(later)])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(own_key[first]),
-                pa.array(own_copy[first]),
-                pa.array(own_start[first].astype(np.int32)),
-                pa.array((own_start[last] + WINDOW).astype(np.int32)),
+                pa.array(key[begins]),
+                pa.array((place[begins] // COPY).astype(np.int32)),
+                pa.array((place[begins] % COPY // START).astype(np.int32)),
+                pa.array((place[ends] % COPY // START + WINDOW).astype(np.int32)),
             ],
             names=["key", "copy", "first", "last"],
         )
@@ -438,36 +543,45 @@ def dedupe(documents, id_col="doc_id", text_col="text", digest=False):
 
     key = F.coalesce("doc_id", F.lit(NO_ID)).alias("key")
     copy = F.row_number().over(Window.partitionBy("key").orderBy("text")).alias("copy")
-    dealt = docs.select(key, "doc_id", "text").repartition(parts, "key").select("key", "doc_id", "text", copy)
-    listed = dealt.select("key", "copy", "text").mapInArrow(
-        _list_segments, "key long, copy int, start int, n int, anchor long"
-    )
+    # Every use reads the same columns, so that all share one exchange of the texts.
+    dealt = docs.select(key, "text").repartition(parts, "key").select("key", "text", copy)
+    listed = dealt.mapInArrow(_list_segments, "key long, place long, anchor long")
     found = listed.join(anchors.select("anchor"), "anchor", "left_semi").groupBy("key").agg(
-        F.collect_list(F.struct("copy", "start", "n")).alias("found")
+        F.collect_list(F.struct("place", "anchor")).alias("found")
+    )
+    named = dealt.join(found, "key").mapInArrow(
+        _name_segments(hot), "key long, place long, anchor long, name binary"
+    )
+    chosen = (
+        named.groupBy("name")
+        .agg(F.min(F.struct("key", "place", "anchor")).alias("first"))
+        .select("first.*", "name")
+        .groupBy("key")
+        .agg(F.collect_list(F.struct("place", "anchor", "name")).alias("found"))
     )
-    candidates = dealt.join(found, "key").select("key", "copy", "text", "found")
-    place = "key long, copy int, start int"
     shards = (
-        candidates.mapInArrow(
-            _cut_segments(hot, True), f"{place}, anchor long, name binary, words binary"
+        dealt.join(chosen, "key")
+        .mapInArrow(
+            _cut_words, "key long, place long, anchor long, name binary, words binary"
         )
         .repartition(parts, "anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(
-            _search_shards, "name binary, keys array<long>, copies array<int>, starts array<int>"
+            _search_shards,
+            "name binary, own_key long, own_place long, keys array<long>, places array<long>",
         )
     )
     runs = (
-        candidates.mapInArrow(_cut_segments(hot, False), f"{place}, n int, name binary")
+        named.select("name", "key", "place")
         .join(shards, "name")
-        .select("key", "copy", "start", "n", "keys", "copies", "starts")
+        .drop("name")
         .mapInArrow(_compare, "key long, copy int, first int, last int")
         .groupBy("key")
         .agg(F.collect_list(F.struct("copy", "first", "last")).alias("runs"))
     )
     return (
         dealt.join(runs, "key", "left")
-        .select("doc_id", "copy", "text", "runs")
+        .select(F.nullif("key", F.lit(NO_ID)).alias("doc_id"), "copy", "text", "runs")
         .mapInArrow(
             _remove(digest),
             f"doc_id long, n_words long, n_removed long, {'kept_sha256' if digest else 'kept'} string",
