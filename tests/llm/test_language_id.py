@@ -25,7 +25,7 @@ def corpus(spark):
         lang = rng.choice(list(SYLLABLES))
         rows.append((k, text_in(rng, lang, rng.randint(3, 80)), lang, f"{lang}.host{k % 5}.example.com"))
     rows += [
-        (900, "漢字仮名交じり文" * 20, "en", "x.example.com"), (901, "", "en", None), (902, None, None, None),
+        (900, "漢字仮名交じり文" * 20, None, "x.example.com"), (901, "", "en", None), (902, None, None, None),
         (903, "12 34 ### 56", "fr", "x"), (904, text_in(rng, "de", 40), None, None), (None, text_in(rng, "fr", 40), "fr", "a.b"),
         (905, text_in(rng, "en", 40), "xx", "y.de"),
     ]
