@@ -1,0 +1,110 @@
+"""Boosting that stops with a patience, and plans that start no job."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickerloom.operators import crosssection, features, ordered
+from tickerloom.plans import training
+
+
+def test_best_prefix():
+    assert training.best_prefix([5, 4, 3, 3.5, 3.2, 3.1], 3) == (3, True)
+    assert training.best_prefix([5, 4, 3, 3.5, 2, 3.1], 3) == (5, False)
+    assert training.best_prefix([5, 4], 10) == (2, False)
+    assert training.best_prefix([], 10) == (0, False)
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng = random.Random(2)
+    rows = []
+    for s in range(12):
+        for d in range(90):
+            x, y = rng.gauss(0, 1), rng.gauss(0, 1)
+            rows.append((f"S{s}", dt.date(2020, 1, 1) + dt.timedelta(d), x, y, 0.3 * x + 0.1 * y * y + rng.gauss(0, 0.3)))
+    return spark.createDataFrame(rows, "symbol string, date date, x double, y double, target_5 double")
+
+
+def trained(table, **options):
+    return training.train_predict(table, max_depth=2, step_size=0.3, long_pct=0.2, **options)
+
+
+def test_trees_follow_the_setting(table):
+    assert trained(table, max_iter=3, validation=None).trees == 3
+    assert trained(table, max_iter=5, validation=None).trees == 5
+    assert trained(table, max_iter=4, patience=50).trees <= 4
+    with pytest.raises(ValueError):
+        trained(table, validation="tail")
+
+
+def test_patience_cuts_the_model(table):
+    found = trained(table, max_iter=12, patience=1, validation="test")
+    assert 1 <= found.trees <= 12
+    model = found.model.stages[-1]
+    assert model.getNumTrees == len(model.trees) == len(model.treeWeights) == found.trees
+    weights = found.predictions.groupBy("date").agg(F.sum("weight").alias("w")).collect()
+    assert all(abs(r.w - 1) < 1e-9 or r.w == 0 for r in weights)
+
+
+def test_first_trees_predict_as_a_model_of_that_size(spark, table, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(table)
+    rows = rows.select("features", F.col("target_5").alias("target_smooth"), F.lit(1.0).alias("sample_weight"))
+    options = dict(patience=None, maxDepth=2, stepSize=0.3)
+    short, long = (training.fit_trees(rows, None, n, **options) for n in (3, 6))
+    cut = training.first_trees(long, 3)
+    both = cut.transform(rows).withColumnRenamed("prediction", "p").join(
+        short.transform(rows).select("features", "prediction"), "features"
+    )
+    assert both.where(F.abs(F.col("p") - F.col("prediction")) > 1e-9).count() == 0
+
+
+def jobs_of(spark, build):
+    group = f"building-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_plans_by_symbol_start_no_job(spark, table):
+    bars = table.withColumn("close", F.col("x") + 10)
+    returned = features.add_returns(bars)
+    for build in (
+        lambda: features.add_returns(bars),
+        lambda: features.add_momentum(bars),
+        lambda: features.add_volatility(returned),
+        lambda: features.add_zscores(bars),
+        lambda: features.add_targets(bars),
+        lambda: crosssection.add_smooth_target(bars),
+    ):
+        assert jobs_of(spark, build) == 0
+
+
+@pytest.mark.parametrize("share", [0.3, 1.0])
+def test_large_group_without_a_key(spark, share):
+    rows = [(None if k < 4000 * share else f"S{k % 5}", k * 7919 % 4001) for k in range(4000)]
+    df = spark.createDataFrame(rows, "symbol string, v int")
+    points = ordered.cut_points(df, ["symbol"], ["v"], rows_per_task=300)
+    found = [r for r in points.collect() if r.symbol is None]
+    assert len(found) == 1 and len(found[0]._cuts) > 1
+    placed = ordered.with_position(df, ["symbol"], ["v"], rows_per_task=300)
+    expected = {}
+    for symbol, v in sorted(rows, key=lambda r: (r[0] or "", r[1])):
+        expected.setdefault(symbol, []).append(v)
+    for symbol, v, position in placed.select("symbol", "v", "_pos").collect():
+        assert expected[symbol][position - 1] == v
+
+
+def test_ranks_have_one_sort_and_quantiles_none(spark, table):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    ranked = plan(ordered.with_average_rank(table, ["date"], "x", ["symbol"]))
+    assert ranked.count("Window") == 1 and ranked.count("+- Sort") + ranked.count("Sort [") <= 2
+    quartiles = ordered.quantiles(table, ["date"], "x", [0.25, 0.5], ["symbol"], None)
+    assert "Sort [" not in plan(quartiles)

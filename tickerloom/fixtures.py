@@ -25,11 +25,17 @@ def symbol_of(supplier):
     return F.concat(F.lit("S"), F.col(supplier).cast("string"))
 
 
-def bars(spark, sf_dir):
-    """One bar per supplier and day; only aggregates that do not depend on row order."""
+def trading_date(calendar):
+    """The ship date, or the first day of its month: few dates with many names."""
+    day = F.to_date("l_shipdate")
+    return (day if calendar == "day" else F.to_date(F.trunc(day, calendar))).alias("date")
+
+
+def bars(spark, sf_dir, calendar="day"):
+    """One bar per supplier and date; only aggregates that do not depend on row order."""
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_suppkey", F.to_date("l_shipdate").alias("date"))
+        .groupBy("l_suppkey", trading_date(calendar))
         .agg(
             F.min("l_extendedprice").alias("low"),
             F.max("l_extendedprice").alias("high"),
@@ -56,13 +62,13 @@ def symbol_sizes(spark, sf_dir):
     return group_sizes(lines, ["l_suppkey"]).select(symbol_of("l_suppkey").alias("symbol"), "_rows")
 
 
-def date_sizes(spark, sf_dir):
+def date_sizes(spark, sf_dir, calendar="day"):
     """Upper bound of bars per date, from one column of the source."""
-    lines = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
+    lines = table(spark, sf_dir, "lineitem").select(trading_date(calendar))
     return group_sizes(lines, ["date"])
 
 
-def scored_bars(spark, sf_dir):
+def scored_bars(spark, sf_dir, calendar="day"):
     """date, symbol, return_5d / vol_20 as `prediction`, target_5 as `target`; complete rows."""
 
     def add(rows, w):
@@ -72,7 +78,7 @@ def scored_bars(spark, sf_dir):
         return drop_rolling(rows, ["return_1d"])
 
     rows = over_symbols(
-        bars(spark, sf_dir).select("symbol", "date", "close"),
+        bars(spark, sf_dir, calendar).select("symbol", "date", "close"),
         add,
         before=features.REACH_BACK,
         after=features.REACH_AHEAD,
@@ -86,12 +92,12 @@ def scored_bars(spark, sf_dir):
     ).dropna("any")
 
 
-def predictions(spark, sf_dir):
+def predictions(spark, sf_dir, calendar="day"):
     """`scored_bars` with the prediction as a z-score of its date.
 
     Written once, as a stage of its own: every use reads it several times.
     """
-    scored = cross_section_zscore(scored_bars(spark, sf_dir), ["prediction"])
+    scored = cross_section_zscore(scored_bars(spark, sf_dir, calendar), ["prediction"])
     return cut_lineage(scored.dropna("any"))
 
 

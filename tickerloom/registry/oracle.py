@@ -292,6 +292,11 @@ def query(ctes, columns, source, tail=""):
     return f"WITH {ctes} SELECT {columns} FROM {source} {tail}"
 
 
+def monthly(ctes):
+    """The same tables with one bar per month."""
+    return ctes.replace("CAST(l_shipdate AS DATE)", "CAST(date_trunc('month', l_shipdate) AS DATE)")
+
+
 def listing(*columns):
     return ", ".join(columns)
 
@@ -301,18 +306,21 @@ def smallest(columns, source):
 
 
 def defect_counts():
-    missing = [f'count(*) FILTER ("{c}" IS NULL) AS "m_{c}"' for c in RAW_COLUMNS]
+    columns = [*RAW_COLUMNS, "Range", "Gain", "Name"]
+    numbers = ("Open", "High", "Low", "Close", "Range", "Gain")
+    missing = [f'count(*) FILTER ("{c}" IS NULL) AS "m_{c}"' for c in columns]
     infinite = [
-        f"count(*) FILTER (abs(\"{c}\") = 'infinity'::DOUBLE) AS \"i_{c}\""
-        for c in ("Open", "High", "Low", "Close")
+        f"count(*) FILTER (abs(\"{c}\") = 'infinity'::DOUBLE) AS \"i_{c}\"" for c in numbers
     ]
     rows = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, \"m_{c}\" AS missing, "
-        + (f'"i_{c}"' if c in ("Open", "High", "Low", "Close") else "0::BIGINT")
+        + (f'"i_{c}"' if c in numbers else "0::BIGINT")
         + " AS infinite FROM counts"
-        for c in RAW_COLUMNS
+        for c in columns
     )
-    return f"{RAW}, counts AS (SELECT {listing(*missing, *infinite)} FROM raw), defect AS ({rows})"
+    return f"""{RAW},
+wide AS (SELECT *, "High" - "Low" AS "Range", "Close" - "Open" AS "Gain", upper(symbol) AS "Name" FROM raw),
+counts AS (SELECT {listing(*missing, *infinite)} FROM wide), defect AS ({rows})"""
 
 
 def leakage():
@@ -578,6 +586,21 @@ ORACLE = {
         ),
         "predictions",
     ),
+    "ic_flip_reversed": query(
+        f"""{PREDICTIONS}, daily AS (
+          SELECT {correlation('prediction', 'target')} AS ic FROM predictions GROUP BY date
+          HAVING stddev_samp(prediction) > 1e-12::DOUBLE AND stddev_samp(target) > 1e-12::DOUBLE)""",
+        listing(
+            "date",
+            "symbol",
+            r6(
+                "CASE WHEN (SELECT avg(ic) FROM daily) > 0 THEN prediction ELSE -prediction END",
+                "prediction",
+            ),
+            r6("target"),
+        ),
+        "predictions",
+    ),
     "signals": query(
         SIGNALS,
         listing(
@@ -587,7 +610,7 @@ ORACLE = {
         "signals",
     ),
     "latest_signals": query(
-        SIGNALS,
+        monthly(SIGNALS),
         listing(
             "date, symbol, signal, 5::BIGINT AS holding_days",
             *map(r6, ("prediction", "target", "pred_z", "rank_pct", "confidence")),
@@ -595,13 +618,13 @@ ORACLE = {
         "latest",
     ),
     "latest_trades": query(
-        f"""{SIGNALS}, best AS (
+        f"""{monthly(SIGNALS)}, best AS (
           SELECT * FROM latest WHERE signal <> 'HOLD' ORDER BY confidence DESC, symbol LIMIT 20)""",
         listing("symbol", "signal", r6("confidence"), "5::BIGINT AS holding_days"),
         "best",
     ),
     "top_signals": query(
-        f"""{SIGNALS}, places AS (
+        f"""{monthly(SIGNALS)}, places AS (
           SELECT *, row_number() OVER (
             PARTITION BY signal ORDER BY confidence DESC, symbol) AS position
           FROM latest WHERE signal <> 'HOLD')""",
@@ -616,7 +639,7 @@ ORACLE = {
         "WHERE position <= 20",
     ),
     "signal_summary": query(
-        SIGNALS,
+        monthly(SIGNALS),
         listing(
             "max(date) AS latest_date",
             "count(*) AS total",
@@ -627,7 +650,7 @@ ORACLE = {
         "latest",
     ),
     "top_stocks": query(
-        f"""{PORTFOLIO}, best AS (
+        f"""{monthly(PORTFOLIO)}, best AS (
           SELECT * FROM portfolio WHERE date = (SELECT max(date) FROM portfolio)
           ORDER BY prediction DESC, symbol LIMIT 20)""",
         listing("symbol", r6("prediction"), r6("weight")),

@@ -53,8 +53,8 @@ def _by_symbol(spark, d):
     return dict(sizes=fx.symbol_sizes(spark, d))
 
 
-def _by_date(spark, d):
-    return dict(sizes=fx.date_sizes(spark, d))
+def _by_date(spark, d, calendar="day"):
+    return dict(sizes=fx.date_sizes(spark, d, calendar))
 
 
 # Features
@@ -183,9 +183,9 @@ def deciles(spark, d):
 # Portfolio
 
 
-def _portfolio(spark, d):
+def _portfolio(spark, d, calendar="day"):
     return portfolio.add_portfolio(
-        fx.predictions(spark, d), LONG_PCT, **_by_date(spark, d)
+        fx.predictions(spark, d, calendar), LONG_PCT, **_by_date(spark, d, calendar)
     )
 
 
@@ -247,37 +247,48 @@ def ic_flip(spark, d):
     return rounded(portfolio.flip_on_negative_ic(fx.predictions(spark, d)))
 
 
+def ic_flip_reversed(spark, d):
+    """The same for reversed predictions: of the two, one is turned round."""
+    reverse = fx.predictions(spark, d).withColumn("prediction", -F.col("prediction"))
+    return rounded(portfolio.flip_on_negative_ic(reverse))
+
+
 # Signals
 
 
-def _signals(spark, d):
+def _signals(spark, d, calendar="day"):
     return signals.add_signals(
-        fx.predictions(spark, d), LONG_PCT, SHORT_PCT, **_by_date(spark, d)
+        fx.predictions(spark, d, calendar), LONG_PCT, SHORT_PCT, **_by_date(spark, d, calendar)
     )
 
 
+# On the last day two names trade, in the last month all of them.
+def _monthly_signals(spark, d):
+    return _signals(spark, d, "month")
+
+
 def signal_table(spark, d):
     return rounded(_signals(spark, d))
 
 
 def latest_signals(spark, d):
-    return rounded(signals.latest_signals(_signals(spark, d)))
+    return rounded(signals.latest_signals(_monthly_signals(spark, d)))
 
 
 def latest_trades(spark, d):
-    return rounded(signals.latest_trades(_signals(spark, d)))
+    return rounded(signals.latest_trades(_monthly_signals(spark, d)))
 
 
 def top_signals(spark, d):
-    return rounded(signals.top_signals(_signals(spark, d)))
+    return rounded(signals.top_signals(_monthly_signals(spark, d)))
 
 
 def signal_summary(spark, d):
-    return rounded(signals.signal_summary(_signals(spark, d)))
+    return rounded(signals.signal_summary(_monthly_signals(spark, d)))
 
 
 def top_stocks(spark, d):
-    return rounded(signals.top_stocks(_portfolio(spark, d)))
+    return rounded(signals.top_stocks(_portfolio(spark, d, "month")))
 
 
 # Quality of features and predictions
@@ -288,7 +299,15 @@ def missing_report(spark, d):
 
 
 def nan_inf_check(spark, d):
-    return quality.nan_inf_check(fx.raw_bars(spark, d))
+    # More columns than the ten that are listed.
+    raw = fx.raw_bars(spark, d).withColumns(
+        {
+            "Range": F.col("High") - F.col("Low"),
+            "Gain": F.col("Close") - F.col("Open"),
+            "Name": F.upper("symbol"),
+        }
+    )
+    return quality.nan_inf_check(raw)
 
 
 def symbol_health(spark, d):
@@ -487,6 +506,7 @@ QUERIES = {
     "long_short_summary": long_short_summary,
     "backtest_checks": backtest_checks,
     "ic_flip": ic_flip,
+    "ic_flip_reversed": ic_flip_reversed,
     "signals": signal_table,
     "latest_signals": latest_signals,
     "latest_trades": latest_trades,
