@@ -95,6 +95,21 @@ def test_universe(spark, base, tmp_path):
     assert universe.filter_summary(manifest, symbols, 0).first()["mode"] == "skip"
 
 
+def test_universe_run(spark, base, tmp_path):
+    listing = tmp_path / "symbols.csv"
+    listing.write_text("Symbol\nmsft\naapl\nEMPTY\nMETA\n")
+    paths = daily_run.select_universe(spark, base, str(listing), str(tmp_path / "out"))
+    assert sorted(paths) == ["matched", "missing", "summary"]
+    matched = spark.read.csv(paths["matched"], header=True).collect()
+    assert [(r.ticker, r.file_path) for r in matched] == [
+        ("AAPL", "Stocks/aapl.us.txt"), ("MSFT", "Stocks/MSFT.us.txt"),
+    ]
+    assert [r.ticker for r in spark.read.csv(paths["missing"], header=True).collect()] == ["META"]
+    paths = daily_run.select_universe(spark, base, str(listing), str(tmp_path / "skip"), 0)
+    assert spark.read.csv(paths["summary"], header=True).first()["mode"] == "skip"
+    assert spark.read.csv(paths["empty"], header=True).first()["file_path"] == "Stocks/empty.us.txt"
+
+
 def test_first_column_of_a_list_without_symbol_header(spark):
     df = spark.createDataFrame([("ibm", "x"), (None, "y")], "code string, Other string")
     assert [r.ticker for r in universe.symbol_set(df).collect()] == ["IBM"]

@@ -37,10 +37,10 @@ def test_cells(spark, folder):
 
 
 def test_many_column_names(spark, tmp_path):
-    names = ",".join(f"c{k}" for k in range(1200))
+    names = ",".join(f"c{k}" for k in range(60))
     (tmp_path / "a.us.txt").write_text(f"Date,{names}\n2020-01-02,{names}\n")
     row = ticker_files.read_by_header(spark, str(tmp_path)).first()
-    assert row.Date == "2020-01-02" and row.c1199 == "c1199"
+    assert row.Date == "2020-01-02" and row.c59 == "c59"
 
 
 def test_year_folder_is_no_feature(spark, tmp_path):
@@ -51,3 +51,16 @@ def test_year_folder_is_no_feature(spark, tmp_path):
     assert "year" in back.columns and feature_columns(back) == ["close"]
     assert sorted(map(tuple, back.select("symbol", "date", "close").collect())) == rows
     assert back.where(F.col("year") == 2020).count() == 1
+
+
+def test_scratch_is_deleted(spark):
+    import os
+
+    from tickerloom.sources.stages import scratch, staged
+
+    df = spark.range(10)
+    kept = staged(df)
+    with scratch(spark) as folder:
+        assert staged(staged(df).where("id > 4")).count() == 5
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and kept.count() == 10

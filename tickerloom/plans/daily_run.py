@@ -1,12 +1,21 @@
-"""The two end-to-end runs. Every stage reads the table the stage before it wrote."""
+"""The end-to-end runs. Every stage reads the table the stage before it wrote."""
 
 import posixpath
 
 from ..operators import portfolio, quality, signals
 from ..operators.cleaning import clean_bars, typed_bars
-from ..operators.universe import symbol_set, universe_bars
+from ..operators.universe import (
+    EMPTY_THRESHOLD,
+    empty_files,
+    filter_summary,
+    matched_files,
+    missing_symbols,
+    symbol_set,
+    universe_bars,
+)
+from ..sources.stages import scratch
 from ..sources.tables import read_table, write_bars, write_by_date, write_csv
-from ..sources.ticker_files import merge_folders, read_symbols
+from ..sources.ticker_files import FOLDERS, file_manifest, merge_folders, read_symbols
 from .feature_table import feature_table
 from .training import save_model, train_predict
 
@@ -20,6 +29,30 @@ def ingest(spark, base, out, kind="both", symbols_path=None, by_year=False):
     return read_table(spark, out)
 
 
+def select_universe(spark, base, symbols_path, out, empty_threshold=EMPTY_THRESHOLD):
+    """Symbol list and stock files -> CSV tables below `out`, by name.
+
+    `matched` lists the files in ticker order, `missing` the symbols without a file and
+    `summary` the counts. With more empty files than the threshold, `empty` lists them.
+    """
+    _, folder = FOLDERS["stocks"]
+    manifest = file_manifest(spark, posixpath.join(base, folder))
+    symbols = symbol_set(read_symbols(spark, symbols_path))
+    summary = filter_summary(manifest, symbols, empty_threshold)
+    tables = {
+        "matched": matched_files(manifest, symbols),
+        "missing": missing_symbols(manifest, symbols),
+        "summary": summary,
+    }
+    if summary.first()["mode"] == "skip":
+        tables["empty"] = empty_files(manifest)
+    paths = {name: posixpath.join(out, name) for name in tables}
+    for name, table in tables.items():
+        # Lists of files are small; one part keeps their order.
+        write_csv(table.coalesce(1), paths[name])
+    return paths
+
+
 def research(spark, bars_path, out, date_frac=1.0, long_pct=0.02, short_pct=0.02, **training):
     """Bars -> features -> model and predictions -> checks, signals and equity curve."""
     paths = {
@@ -27,12 +60,14 @@ def research(spark, bars_path, out, date_frac=1.0, long_pct=0.02, short_pct=0.02
         for name in ("features", "model", "predictions", "signals", "equity_curve")
     }
     write_bars(feature_table(read_table(spark, bars_path), date_frac), paths["features"])
-    trained = train_predict(read_table(spark, paths["features"]), long_pct=long_pct, **training)
-    save_model(trained.model, paths["model"])
-    write_by_date(trained.predictions, paths["predictions"])
+    with scratch(spark):
+        trained = train_predict(read_table(spark, paths["features"]), long_pct=long_pct, **training)
+        save_model(trained.model, paths["model"])
+        write_by_date(trained.predictions, paths["predictions"])
     predictions = read_table(spark, paths["predictions"])
-    write_by_date(signals.add_signals(predictions, long_pct, short_pct), paths["signals"])
-    write_csv(portfolio.daily_returns(predictions), paths["equity_curve"])
+    with scratch(spark):
+        write_by_date(signals.add_signals(predictions, long_pct, short_pct), paths["signals"])
+        write_csv(portfolio.daily_returns(predictions), paths["equity_curve"])
     return paths
 
 

@@ -2,8 +2,12 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 SETTING = "spark.checkpoint.dir"
+# Folder of the scratch that is open, if any.
+_SCRATCH = ContextVar("scratch", default=None)
 
 
 def shared_folder(spark):
@@ -23,15 +27,21 @@ def shared_folder(spark):
 
 def new_folder(spark, name):
     """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def drop_stages(spark):
-    """Delete all stages of this application; tables read from them are gone as well."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    above = _SCRATCH.get() or f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    return f"{above}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark):
+    """Stages written inside are deleted at the end; tables to keep are written elsewhere."""
+    folder = new_folder(spark, "scratch")
+    outer = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(outer)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df, name="stage", compression="zstd"):
