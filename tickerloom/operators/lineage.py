@@ -17,10 +17,12 @@ def cut_lineage(df):
 
 
 def checked_broadcast(small, max_rows=BROADCAST_ROWS):
-    """Broadcast hint if `small` really has at most `max_rows` rows, else a shuffled join."""
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
+    """Broadcast hint if `small` really has at most `max_rows` rows, else a shuffled join.
+
+    It is written once, so that counting it is no second pass over what it comes from.
+    """
+    small = staged(small, "small", "snappy")
+    return F.broadcast(small) if small.count() <= max_rows else small
 
 
 def join_by_date(df, daily, how="left"):
@@ -32,6 +34,6 @@ def join_by_date(df, daily, how="left"):
     if isinstance(daily.schema["date"].dataType, T.DateType):
         if len(daily.columns) <= NARROW_COLUMNS + 1:
             daily = F.broadcast(daily)
-        elif daily.select("date").limit(BROADCAST_ROWS // 10 + 1).count() <= BROADCAST_ROWS // 10:
-            daily = F.broadcast(daily)
+        else:
+            daily = checked_broadcast(daily, BROADCAST_ROWS // 10)
     return df.join(daily, "date", how)

@@ -30,6 +30,8 @@ from .lineage import CALENDAR_DAYS, cut_lineage
 
 ROWS_PER_TASK = 5_000_000
 SAMPLES_PER_CHUNK = 64
+# Values of a group that one aggregate may hold at a time.
+PERCENTILE_ROWS = 500_000
 _HASH_RANGE = 1 << 40
 # Stands for "count the groups and find out".
 _FIND = object()
@@ -261,7 +263,8 @@ def quantiles(df, keys, value, probabilities, ties, join_sizes, **skew):
     the one-row-per-group table `counts` to `rows`.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, value, *ties)
-    points = cut_points(rows, keys, [value, *ties], **skew)
+    most = min(skew.pop("rows_per_task", ROWS_PER_TASK), PERCENTILE_ROWS)
+    points = cut_points(rows, keys, [value, *ties], rows_per_task=most, **skew)
     if points is None:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
         return rows.groupBy(*keys).agg(
