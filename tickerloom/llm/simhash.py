@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.stages import staged
 from .text import UPPER_TO_LOWER, utf8
@@ -299,18 +300,17 @@ def representatives(documents, radius=RADIUS, id_col="doc_id", text_col="text"):
     groups = staged(cluster(documents, radius, id_col, text_col), "simhash")
     ids = groups.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     named = documents.join(ids, id_col, "left_semi").dropDuplicates([id_col])
-    nameless = documents.where(F.col(id_col).isNull())
     lone = groups.where("component_id is null").select("fp", "label").distinct()
-    if not lone.isEmpty():
-        columns = documents.columns
-        signed = nameless.select(F.struct(*columns).alias("row"), F.col(text_col).alias("text"))
-        signed = signed.mapInArrow(_signed_rows, f"row {nameless.select(F.struct(*columns).alias('r')).schema['r'].dataType.simpleString()}, fp long")
-        kept = signed.join(lone, "fp").dropDuplicates(["label"]).select("row.*")
-        named = named.unionByName(kept)
-    return named
+    if lone.isEmpty():
+        return named
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    nameless = documents.where(F.col(id_col).isNull()).select(whole, F.col(text_col).alias("text"))
+    schema = T.StructType([nameless.schema["row"], T.StructField("fp", T.LongType())])
+    kept = nameless.mapInArrow(_with_fingerprint, schema).join(lone, "fp").dropDuplicates(["label"])
+    return named.unionByName(kept.select("row.*"))
 
 
-def _signed_rows(batches):
+def _with_fingerprint(batches):
     for batch in batches:
         out = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], dtype=np.uint64)
         yield pa.RecordBatch.from_arrays(
