@@ -61,20 +61,26 @@ EQUIVALENT = [
 
 _COPYRIGHT_LINE = r"(^|\n)[ \t*#/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
 _OTHER = r"[^\p{L}\p{N}]+"
+_ANY_EQUIVALENT = f" (?:{'|'.join(word for word, _ in EQUIVALENT)}) "
 
 
-def canonical(text):
-    """Canonical form of a text column; null if nothing is left of it."""
+def spaced(text):
+    """Lower-case words of a text column, with two spaces between them: neighbours share none."""
     out = F.regexp_replace(F.lower(text), _COPYRIGHT_LINE, "\n")
-    # Two spaces between words, so that neighbours don't share one.
-    out = F.concat(F.lit(" "), F.regexp_replace(out, _OTHER, "  "), F.lit(" "))
-    out = reduce(lambda c, p: F.replace(c, F.lit(f" {p[0]} "), F.lit(f" {p[1]} ")), EQUIVALENT, out)
+    return F.concat(F.lit(" "), F.regexp_replace(out, _OTHER, "  "), F.lit(" "))
+
+
+def canonical(words):
+    """Canonical form of a `spaced` column; null if nothing is left of it."""
+    same = reduce(lambda c, p: F.replace(c, F.lit(f" {p[0]} "), F.lit(f" {p[1]} ")), EQUIVALENT, words)
+    # Few texts have any of the words; one search spares the others the replacements.
+    out = F.when(F.rlike(words, F.lit(_ANY_EQUIVALENT)), same).otherwise(words)
     out = F.trim(F.replace(out, F.lit("  "), F.lit(" ")))
     return F.when(out != "", out)
 
 
-def digest(text):
-    return F.sha2(canonical(text), 256)
+def digest(words):
+    return F.sha2(canonical(words), 256)
 
 
 # SHA-256 of the canonical texts of licences.
@@ -146,11 +152,12 @@ def scan(documents, id_col="doc_id", text_col="text"):
     text = F.col(text_col)
     by_digest = F.create_map(*[F.lit(x) for k, d in notices() for x in (d, k)])
     marked = F.filter(F.split(text, "\n"), lambda line: F.contains(F.lower(line), F.lit(NOTICE_MARK)))
-    named = F.transform(marked, lambda line: F.element_at(by_digest, digest(line)))
+    named = F.transform(marked, lambda line: F.element_at(by_digest, digest(spaced(line))))
     found = F.array_sort(F.array_distinct(F.filter(named, lambda x: x.isNotNull())))
+    # Read more than once below, so Spark works it out once, in a projection of its own.
     docs = documents.select(
-        F.col(id_col).alias("doc_id"), digest(text).alias("digest"), found.alias("notices")
-    )
+        F.col(id_col).alias("doc_id"), spaced(text).alias("words"), found.alias("notices")
+    ).select("doc_id", digest(F.col("words")).alias("digest"), "notices")
     known = F.broadcast(known_texts(documents.sparkSession))
     return docs.join(known, "digest", "left").select("doc_id", "digest", "license", "notices")
 
