@@ -37,7 +37,7 @@ from .text import utf8
 WINDOW = 20
 GRAM = 6
 HOT_ANCHORS = 100_000
-HOT_SEGMENTS = 20_000
+HOT_SEGMENTS = 1_000
 SHARD_WORDS = 500_000
 # Text bytes hashed at once.
 BLOCK_BYTES = 1 << 20
@@ -146,12 +146,12 @@ def _sliding_min(values, width):
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def segments(h, text=None, hot=None):
+def segments(h, text=None, hot=None, chosen=None):
     """First window, number of windows and anchor of each segment of at most LONGEST windows.
 
-    `text` numbers the text of every word; windows stay inside one. `hot` (sorted) are anchors to
-    avoid: they count as the largest value where another is at hand. Also returns the hash of
-    every run of GRAM words.
+    `text` numbers the text of every word; windows stay inside one, and, if `chosen` is given,
+    are those that begin at a chosen word. `hot` (sorted) are anchors to avoid: they count as
+    the largest value where another is at hand. Also returns the hash of every run of GRAM words.
     """
     if len(h) < WINDOW:
         empty = np.zeros(0, np.int64)
@@ -163,10 +163,11 @@ def segments(h, text=None, hot=None):
         if is_hot.any():
             other = _sliding_min(np.where(_member(hot, grams), _LAST, grams), GRAMS)
             anchor = np.where(is_hot & (other != _LAST), other, anchor)
-    windows = np.arange(len(anchor))
+    usable = np.ones(len(anchor), bool) if chosen is None else chosen[: len(anchor)]
     if text is not None:
-        windows = np.flatnonzero(text[: len(anchor)] == text[WINDOW - 1 :])
-        anchor = anchor[windows]
+        usable = usable & (text[: len(anchor)] == text[WINDOW - 1 :])
+    windows = np.flatnonzero(usable)
+    anchor = anchor[windows]
     place = np.arange(len(windows))
     new = np.ones(len(windows), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (windows[1:] != windows[:-1] + 1)
@@ -218,23 +219,10 @@ def _list_segments(batches):
             )
 
 
-def _located(batch):
-    """Per group of texts: all word hashes, and of every element of the array `found` that is of
-    this copy: its key, copy, first word of its text, first window, windows, anchor, further fields."""
-    found, keys = batch.column("found"), batch.column("key").to_numpy()
-    copies = batch.column("copy").to_numpy().astype(np.int64)
-    owner = np.repeat(np.arange(len(batch)), np.diff(found.offsets.to_numpy()))
-    place, *fields = found.flatten().flatten()
-    mine = place.to_numpy() // COPY == copies[owner]
-    owner, place = owner[mine], place.to_numpy()[mine]
-    fields = [f.filter(pa.array(mine)) for f in fields]
-    for row, to, h, text in groups(batch.column("text")):
-        low, high = np.searchsorted(owner, [row, to])
-        mine = owner[low:high]
-        base = np.searchsorted(text, np.arange(to - row))[mine - row]
-        start, n = place[low:high] % COPY // START, place[low:high] % START
-        columns = [c.tolist() for c in (keys[mine], copies[mine], base, start, n)]
-        yield h, zip(*columns, *(f.slice(low, high - low).to_pylist() for f in fields))
+def _located(batch, places):
+    """Rows that the elements of the array `found` belong to, and which of them are of this copy."""
+    owner = np.repeat(np.arange(len(batch)), np.diff(batch.column("found").offsets.to_numpy()))
+    return owner, places // COPY == batch.column("copy").to_numpy()[owner]
 
 
 def _shortened(h):
@@ -253,21 +241,34 @@ def _name_segments(hot):
     """Every candidate segment with its anchor (not a hot one, where it can be) and digest."""
 
     def run(batches):
-        avoid = set(hot.value.view(np.int64).tolist())
         for batch in batches:
-            for h, candidates in _located(batch):
-                raw, rows = _shortened(h), []
-                for key, copy, base, start, n, anchor in candidates:
-                    parts = [(start, n, anchor)]
-                    if anchor in avoid:
-                        first = base + start
-                        starts, counts, anchors, _ = segments(h[first : first + n + WINDOW - 1], hot=hot.value)
-                        parts = zip((starts + start).tolist(), counts.tolist(), anchors.view(np.int64).tolist())
-                    for start, n, anchor in parts:
-                        low, high = (base + start) * HASH_BYTES, (base + start + n + WINDOW - 1) * HASH_BYTES
-                        place = copy * COPY + start * START + n
-                        rows.append((key, place, anchor, xxhash.xxh128_digest(raw[low:high])))
-                yield _batch_of(rows, key=pa.int64(), place=pa.int64(), anchor=pa.int64(), name=pa.binary())
+            key, copy = batch.column("key").to_numpy(), batch.column("copy").to_numpy().astype(np.int64)
+            place = batch.column("found").flatten().to_numpy()
+            owner, mine = _located(batch, place)
+            owner, place = owner[mine], place[mine]
+            for row, to, h, text in groups(batch.column("text")):
+                here = slice(*np.searchsorted(owner, [row, to]))
+                first_word = np.searchsorted(text, np.arange(to - row))
+                start = first_word[owner[here] - row] + place[here] % COPY // START
+                marks = np.zeros(len(h) + 1, np.int64)
+                np.add.at(marks, start, 1)
+                np.add.at(marks, start + place[here] % START, -1)
+                starts, counts, anchors, _ = segments(h, text, hot.value, np.cumsum(marks[:-1]) > 0)
+                raw, doc = _shortened(h), text[starts]
+                names = [
+                    xxhash.xxh128_digest(raw[w * HASH_BYTES : (w + n + WINDOW - 1) * HASH_BYTES])
+                    for w, n in zip(starts.tolist(), counts.tolist())
+                ]
+                places = copy[row:to][doc] * COPY + (starts - first_word[doc]) * START + counts
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key[row:to][doc]),
+                        pa.array(places),
+                        pa.array(anchors.view(np.int64)),
+                        pa.array(names, pa.binary()),
+                    ],
+                    names=["key", "place", "anchor", "name"],
+                )
 
     return run
 
@@ -276,11 +277,21 @@ def _cut_words(batches):
     """The word hashes of the first occurrence of every segment."""
     kinds = dict(key=pa.int64(), place=pa.int64(), anchor=pa.int64(), name=pa.binary(), words=pa.binary())
     for batch in batches:
-        for h, chosen in _located(batch):
-            raw, rows = _shortened(h), []
-            for key, copy, base, start, n, anchor, name in chosen:
-                low, high = (base + start) * HASH_BYTES, (base + start + n + WINDOW - 1) * HASH_BYTES
-                rows.append((key, copy * COPY + start * START, anchor, name, raw[low:high]))
+        keys = batch.column("key").to_pylist()
+        place, *fields = batch.column("found").flatten().flatten()
+        owner, mine = _located(batch, place.to_numpy())
+        owner, place = owner[mine], place.to_numpy()[mine]
+        fields = [f.filter(pa.array(mine)) for f in fields]
+        for row, to, h, text in groups(batch.column("text")):
+            low, high = np.searchsorted(owner, [row, to])
+            base = np.searchsorted(text, np.arange(to - row))[owner[low:high] - row]
+            first = (base + place[low:high] % COPY // START) * HASH_BYTES
+            last = first + (place[low:high] % START + WINDOW - 1) * HASH_BYTES
+            raw = _shortened(h)
+            begins = place[low:high] // START * START
+            columns = [c.tolist() for c in (owner[low:high], begins, first, last)]
+            columns += [f.slice(low, high - low).to_pylist() for f in fields]
+            rows = [(keys[r], p, anchor, name, raw[a:b]) for r, p, a, b, anchor, name in zip(*columns)]
             yield _batch_of(rows, **kinds)
 
 
@@ -547,7 +558,7 @@ def dedupe(documents, id_col="doc_id", text_col="text", digest=False):
     dealt = docs.select(key, "text").repartition(parts, "key").select("key", "text", copy)
     listed = dealt.mapInArrow(_list_segments, "key long, place long, anchor long")
     found = listed.join(anchors.select("anchor"), "anchor", "left_semi").groupBy("key").agg(
-        F.collect_list(F.struct("place", "anchor")).alias("found")
+        F.collect_list("place").alias("found")
     )
     named = dealt.join(found, "key").mapInArrow(
         _name_segments(hot), "key long, place long, anchor long, name binary"
