@@ -81,6 +81,45 @@ def test_classes_nest(site):
     assert paragraph["parent_class"] == by_path[""]["vector"]
 
 
+def test_copies_of_a_page_are_one_page(spark):
+    article = "<article><h1>Title</h1><p>First.</p><p>Second.</p></article>"
+    rows = [(k, "http://rows.example/a", f"<html><body>{article}</body></html>") for k in range(15)]
+    rows += [(None, "http://rows.example/a", f"<html><body>{article}</body></html>")] * 5
+    rows += [
+        (100 + k, f"http://mirror.example/a?utm_source={k}",
+         f"<html><head><link href='?utm_source={k}'><script>x({k})</script></head><body>{article}</body></html>")
+        for k in range(15)
+    ]
+    # Twenty copies of a page with a list of links are one page of twelve, no template.
+    links = "<div class='x'>" + "".join(f"<a href='{k}'>see {k}</a> " for k in range(5)) + "</div><p>end</p>"
+    rows += [(200 + k, f"http://mixed.example/{k}", f"<p>text {k}</p>") for k in range(11)]
+    rows += [(300 + k, f"http://mixed.example/c{k}", f"<body>{links}</body>") for k in range(20)]
+    found = [(r["page_id"], r["text"]) for r in op.report(spark.createDataFrame(rows, PAGES).repartition(4)).collect()]
+    assert len(found) == len(rows)
+    for page_id, text in found:
+        if page_id is None or page_id < 200:
+            assert text == "Title\nFirst.\nSecond."
+        elif page_id >= 300:
+            assert text == "see 0 see 1 see 2 see 3 see 4\nend"
+        else:
+            assert text == f"text {page_id - 200}"
+
+
+def test_whole_articles(site, spark):
+    df, _ = site
+    found = {r["page_id"]: r["text"] for r in op.extract(df, whole_articles=True).collect()}
+    assert found[110] == "Head 10\np 10\nthe same line"
+    assert found[3].startswith("Story 3 ") and "Welcome" not in found[3]
+
+
+def test_whole_articles_in_the_query(site, tmp_path, spark):
+    from tickerloom.llm import queries
+
+    site[0].write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r["page_id"]: r["text"] for r in queries.op2_html_text(spark, str(tmp_path)).collect()}
+    assert found[110] == "Head 10\np 10\nthe same line"
+
+
 def test_extra_columns_and_empty(site, spark):
     df, _ = site
     wide = df.withColumns({c: F.lit("x") for c in ("host", "text", "menus", "path", "block")})

@@ -6,12 +6,14 @@ vector, Spark aggregates its support, its total and two sums of hashes of (page,
 are equal for equal vectors. Tokens of a host that share a vector are an equivalence class.
 
 * A class is frequent if at least MIN_SHARE of the host's pages have it; hosts with fewer than
-  MIN_PAGES pages give no template. So a template has at most 1 / MIN_SHARE times the tokens of
+  MIN_PAGES pages give no template. Pages of a host whose text without tags is the same (repeated
+  rows, mirrors, addresses with other parameters) count as one page here. So a template has at most 1 / MIN_SHARE times the tokens of
   an average page.
 * A class is valid if it nests: all its elements whose parents are not of the class hang below
   elements of one other class.
 * The valid classes, nested by their paths, are the template. Blocks of the class that is once
-  on every page are template text. What is left are slots, named by their innermost template
+  on every page are template text, outside articles and main elements alone if articles are to
+  stay whole (`whole_articles`, as in the registered queries). What is left are slots, named by their innermost template
   element; a slot of menu-like elements (mostly link text) or below a boilerplate element is dropped.
 
 The page's main element (article, else main, else body) bounds the text. Elements of no template
@@ -23,6 +25,7 @@ Defined results: null or empty html gives an empty text; null ids and addresses
 
 import html
 import re
+from operator import add
 
 import pyarrow as pa
 import xxhash
@@ -187,7 +190,7 @@ def blocks(found):
         yield first.path, first.main, text
 
 
-def main_text(page, menus=(), constants=frozenset()):
+def main_text(page, menus=(), constants=frozenset(), whole_articles=False):
     """Blocks of the main element without boilerplate, menu slots and template text.
 
     `menus` is a tuple of paths that end with a slash.
@@ -199,7 +202,7 @@ def main_text(page, menus=(), constants=frozenset()):
         for path, main, text in blocks(found)
         if main >= level
         and not (menus and f"{path}/".startswith(menus))
-        and not (constants and block_hash(path, text) in constants)
+        and not (constants and not (whole_articles and main) and block_hash(path, text) in constants)
     )
 
 
@@ -240,45 +243,64 @@ def host_of(url):
 
 
 _SUMS = ["support", "total", "low", "high", "chars", "link_chars", "links"]
-_TOKENS = "host string, path string, block long, " + ", ".join(f"{c} long" for c in _SUMS)
+_TOKENS = "host string, path string, block long, " + ", ".join(f"{c} long" for c in _SUMS) + ", pages double"
+# What two copies of a page may differ in: scripts, styles, comments and tags with their attributes.
+_UNSEEN = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*+>"
 
 
 def _count_tokens(batches):
     for batch in batches:
         sums = {}
-        for page_id, url, page in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
+        columns = ("page_id", "url", "html", "copies")
+        for page_id, url, page, copies in zip(*(batch.column(c).to_pylist() for c in columns)):
             host = host_of(url)
             for (path, block), (n, chars, link_chars, links) in page_tokens(page).items():
                 mark = xxhash.xxh64_intdigest(f"{page_id}\0{url}\0{n}")
-                row = (1, n, mark & 0xFFFFFFFF, mark >> 32, chars, link_chars, links)
+                row = (1, n, mark & 0xFFFFFFFF, mark >> 32, chars, link_chars, links, 1 / copies)
                 old = sums.get((host, path, block))
-                sums[host, path, block] = row if old is None else tuple(map(int.__add__, old, row))
+                sums[host, path, block] = row if old is None else tuple(map(add, old, row))
         keys = list(zip(*sums)) or [[], [], []]
-        values = list(zip(*sums.values())) or [[]] * len(_SUMS)
+        values = list(zip(*sums.values())) or [[]] * (len(_SUMS) + 1)
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.string()), pa.array(keys[2], pa.int64())]
-            + [pa.array(v, pa.int64()) for v in values],
-            names=["host", "path", "block", *_SUMS],
+            + [pa.array(v, pa.int64()) for v in values[:-1]]
+            + [pa.array(values[-1], pa.float64())],
+            names=["host", "path", "block", *_SUMS, "pages"],
         )
 
 
-def _pages(pages, id_col, url_col, html_col):
+def _pages(pages, id_col, url_col, html_col, *others):
     return pages.select(
-        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
+        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), *others
     )
 
 
+def _host(url):
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    return F.coalesce(host, F.lit(""))
+
+
+def _with_copies(rows):
+    """The rows with the number of rows of their host that show the same text."""
+    shown = F.regexp_replace(F.coalesce("html", F.lit("")), _UNSEEN, "")
+    rows = rows.withColumns({"host": _host("url"), "shown": F.xxhash64(shown)})
+    copies = rows.groupBy("host", "shown").agg(F.count("*").alias("n")).where("n > 1")
+    rows = rows.join(checked_broadcast(copies), ["host", "shown"], "left")
+    return rows.select("page_id", "url", "html", F.coalesce("n", F.lit(1)).alias("copies"))
+
+
 def equivalence_classes(pages, id_col="page_id", url_col="url", html_col="html"):
     """Frequent tokens (host, path, block) with their class (`vector`), its parent and `valid`."""
-    rows = _pages(pages, id_col, url_col, html_col).mapInArrow(_count_tokens, _TOKENS)
-    tokens = rows.groupBy("host", "path", "block").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    rows = _with_copies(_pages(pages, id_col, url_col, html_col)).mapInArrow(_count_tokens, _TOKENS)
+    different = F.round(F.sum("pages"), 6).alias("pages")
+    tokens = rows.groupBy("host", "path", "block").agg(*[F.sum(c).alias(c) for c in _SUMS], different)
     vector = F.struct("support", "total", "low", "high").alias("vector")
-    tokens = staged(tokens.where(F.col("support") > 1).select("host", "path", "block", vector, *_SUMS[4:]), "tokens")
-    hosts = tokens.where("path = ''").select("host", F.col("vector").alias("everywhere"))
-    hosts = hosts.where(F.col("everywhere.support") >= MIN_PAGES)
-    frequent = tokens.join(hosts, "host").where(
-        F.col("vector.support") >= F.col("everywhere.support") * MIN_SHARE
+    tokens = staged(tokens.where(F.col("support") > 1).select("host", "path", "block", vector, *_SUMS[4:], "pages"), "tokens")
+    hosts = tokens.where("path = ''").select(
+        "host", F.col("vector").alias("everywhere"), F.col("pages").alias("all_pages")
     )
+    hosts = hosts.where(F.col("all_pages") >= MIN_PAGES)
+    frequent = tokens.join(hosts, "host").where(F.col("pages") >= F.col("all_pages") * MIN_SHARE)
     # A block is template text only in the class of what is once on every page.
     frequent = frequent.where((F.col("block") == 0) | (F.col("vector") == F.col("everywhere")))
     above = frequent.where("block = 0").select(
@@ -312,34 +334,40 @@ def templates(pages, id_col="page_id", url_col="url", html_col="html"):
     )
 
 
-def _extract(batches):
-    for batch in batches:
-        texts = [
-            main_text(page, tuple(f"{m}/" for m in menus or ()), frozenset(constants or ()))
-            for page, menus, constants in zip(
-                *(batch.column(c).to_pylist() for c in ("html", "menus", "constants"))
+def _extract(whole_articles, kept):
+    def run(batches):
+        for batch in batches:
+            texts = [
+                main_text(page, tuple(f"{m}/" for m in menus or ()), frozenset(constants or ()), whole_articles)
+                for page, menus, constants in zip(
+                    *(batch.column(c).to_pylist() for c in ("html", "menus", "constants"))
+                )
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("page_id"),
+                    batch.column("url"),
+                    pa.array(texts, pa.string()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                    *(batch.column(c) for c in kept),
+                ],
+                names=["page_id", "url", "text", "n_chars", *kept],
             )
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("page_id"),
-                batch.column("url"),
-                pa.array(texts, pa.string()),
-                pa.array([len(t) for t in texts], pa.int64()),
-            ],
-            names=["page_id", "url", "text", "n_chars"],
-        )
+
+    return run
 
 
-def extract(pages, id_col="page_id", url_col="url", html_col="html"):
-    """page_id, url, text, n_chars of every page."""
-    rows = _pages(pages, id_col, url_col, html_col)
-    host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    rows = rows.withColumn("host", F.coalesce(host, F.lit("")))
+def extract(pages, id_col="page_id", url_col="url", html_col="html", whole_articles=False, kept=None):
+    """page_id, url, text, n_chars of every page, and the columns `kept` (name: column of `pages`)."""
+    kept = kept or {}
+    rows = _pages(pages.withColumns(kept), id_col, url_col, html_col, *kept)
+    rows = rows.withColumn("host", _host("url"))
     found = checked_broadcast(staged(templates(pages, id_col, url_col, html_col), "templates"), 100_000)
     joined = rows.join(found, "host", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
-    return joined.mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars long")
+    schema = f"page_id {kind}, url string, text string, n_chars long"
+    schema += "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return joined.mapInArrow(_extract(whole_articles, list(kept)), schema)
 
 
 def report(pages):

@@ -22,7 +22,7 @@ def op1_decontamination(spark, d):
 
 
 def op2_html_text(spark, d):
-    return html_text.report(_table(spark, d, "pages"))
+    return html_text.extract(_table(spark, d, "pages"), whole_articles=True)
 
 
 def op3_packing(spark, d):
