@@ -97,3 +97,19 @@ def test_host_priors_are_smoothed_by_the_levels_above(corpus):
     assert priors["fr.host0.example.com"][at] > 0.5 > priors["de.host0.example.com"][at]
     labels = [r[2] for r in rows[:400]] + ["en", "en"] * 0
     assert 0.1 < priors["x.example.com"][at] < 0.6 and len(labels) == 400
+
+
+def test_pages_keep_null_and_repeated_ids(spark, tmp_path):
+    from tickerloom.llm import queries
+
+    rng = random.Random(3)
+    rows = [
+        (k, f"http://h{k % 3}.example.{lang}/{k}", f"<html lang={lang}><p>{text_in(rng, lang, 40)}</p></html>")
+        for k, lang in enumerate(["en", "fr", "de"] * 10)
+    ]
+    rows += [(None, *r[1:]) for r in rows[:7]] + [(3, *r[1:]) for r in rows[:7]] + [(99, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = queries.language_id_pages(spark, str(tmp_path)).collect()
+    expected = [(r[0], "und" if r[2] is None else r[2][11:13]) for r in rows]
+    key = lambda r: [(x is None, x) for x in r]
+    assert sorted(((r["page_id"], r["language"]) for r in found), key=key) == sorted(expected, key=key)

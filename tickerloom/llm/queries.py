@@ -60,9 +60,8 @@ def op10_licenses(spark, d):
 def language_id_pages(spark, d):
     """Language of web pages: extracted text, `lang` of the html element, host of the address."""
     pages = _table(spark, d, "pages")
-    texts = html_text.extract(pages)
-    html = pages.select("page_id", F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([A-Za-z]+)", 1).alias("lang"))
-    rows = texts.join(html, "page_id")
+    lang = F.nullif(F.regexp_extract("html", r"(?i)<html[^>]*\slang=[\"']?([A-Za-z]+)", 1), F.lit(""))
+    rows = html_text.extract(pages, whole_articles=True, kept={"lang": lang})
     host = F.regexp_extract("url", r"^[a-z]+://([^/:?#]+)", 1)
     found = language_id.identify(rows, id_col="page_id", host=host)
     return found.select(F.col("doc_id").alias("page_id"), "language", F.round("posterior", 6).alias("posterior"), "accepted")
