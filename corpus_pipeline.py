@@ -14,7 +14,7 @@ def known_languages(spark, docs, sf_dir):
 
 def one_of_each_group(spark, docs, sf_dir):
     """One document of each group of SimHash near-duplicates."""
-    return simhash.representatives(docs)
+    return simhash.group_representatives(docs)
 
 
 def without_benchmarks(spark, docs, sf_dir):

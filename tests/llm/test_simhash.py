@@ -71,6 +71,25 @@ def test_one_row_of_each_group_stays(odd, odd_rows, listed):
     assert len([r for r in kept if r[0] is None]) <= len(fps)
 
 
+def test_one_row_of_each_group_stays_where_ids_repeat(spark, odd, odd_rows, empty, widen, listed):
+    import corpus_pipeline
+
+    a, b = (" ".join(f"{w}{k}" for k in range(200)) for w in "ab")
+    rows = [(5, a), (5, b), (9, b + " tail"), (None, a), (None, "one more"), (None, "one more"), (7, "x y"), (7, "X  y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = listed(corpus_pipeline.one_of_each_group(spark, df, None))
+    assert kept == [(5, a), (5, b), (7, "X  y"), (None, "one more")]
+    assert listed(op.group_representatives(empty)) == []
+    fps = [brute_fingerprint(r[1]) for r in odd_rows]
+    groups = {}
+    for row, label in zip(odd_rows, brute_components(fps)):
+        groups.setdefault(label, []).append(row[:2])
+    least = [min(g, key=lambda r: [(r[0] is None, r[0]), (r[1] is not None, r[1])]) for g in groups.values()]
+    least.sort(key=lambda r: [(x is None, x) for x in r])
+    assert listed(op.group_representatives(odd), "doc_id", "text") == least
+    assert op.group_representatives(widen(odd)).columns == widen(odd).columns
+
+
 def near(rng, value, bits):
     for b in rng.sample(range(64), bits):
         value ^= 1 << b

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.lineage import checked_broadcast
 from ..sources.stages import staged
 from .text import UPPER_TO_LOWER, utf8
 
@@ -310,6 +311,31 @@ def representatives(documents, radius=RADIUS, id_col="doc_id", text_col="text"):
     return named.unionByName(kept.select("row.*"))
 
 
+def group_representatives(documents, radius=RADIUS, id_col="doc_id", text_col="text"):
+    """One row of each group of linked rows, with all its columns: that with the least (id, text).
+
+    Null ids come last. Rows that share an id but not a group are told apart by their fingerprints.
+    """
+    groups = staged(cluster(documents, radius, id_col, text_col), "simhash")
+    shared = groups.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("shared"))
+    wanted = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    wanted = wanted.select("doc_id", "fp", "label").distinct().join(checked_broadcast(shared), "doc_id", "left")
+    wanted = staged(wanted.withColumn("shared", F.col("doc_id").isNull() | F.col("shared").isNotNull()), "simhash")
+    ids = wanted.where("not shared").select(F.col("doc_id").alias(id_col))
+    named = documents.join(ids, id_col, "left_semi")
+    rest = wanted.where("shared")
+    if rest.isEmpty():
+        return named
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    rows = documents.select(whole, F.col(text_col).alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("fp", T.LongType())])
+    rows = rows.mapInArrow(_with_fingerprint, schema).withColumn("id", F.col("row").getField(id_col))
+    rest = checked_broadcast(rest.select(F.col("doc_id").alias("own"), F.col("fp").alias("mark"), "label"))
+    found = rows.join(rest, (F.col("fp") == F.col("mark")) & F.col("id").eqNullSafe(F.col("own")))
+    kept = found.groupBy("label").agg(F.min_by("row", F.struct(F.col("row").getField(text_col))).alias("row"))
+    return named.unionByName(kept.select("row.*"))
+
+
 def _with_fingerprint(batches):
     for batch in batches:
         out = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], dtype=np.uint64)
