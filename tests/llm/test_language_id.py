@@ -113,3 +113,17 @@ def test_pages_keep_null_and_repeated_ids(spark, tmp_path):
     expected = [(r[0], "und" if r[2] is None else r[2][11:13]) for r in rows]
     key = lambda r: [(x is None, x) for x in r]
     assert sorted(((r["page_id"], r["language"]) for r in found), key=key) == sorted(expected, key=key)
+
+
+@pytest.mark.parametrize("n", [1, 2, 4])
+def test_languages_of_few_rows(spark, n):
+    rng = random.Random(n)
+    few = [(k, text_in(rng, lang, 40), lang, f"s.{k}") for k, lang in enumerate(["fr", "de"] * n)]
+    many = [(100 + k, text_in(rng, "en", 40), "en", "s") for k in range(50)]
+    silent = [(300, "12 34", "zz", "s")]
+    for rows in (few, few + many + silent):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        found = {r["doc_id"]: (r["language"], r["accepted"]) for r in op.report(df).collect()}
+        assert all(found[r[0]] == (r[2], True) for r in rows if r[2] != "zz")
+        assert "zz" not in op.fit(df).languages
+        assert op.accepted(df, host=F.col("source")).count() == len(rows) - (rows != few)

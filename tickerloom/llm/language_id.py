@@ -1,6 +1,7 @@
 """Language identification by Bayesian fusion of four kinds of evidence.
 
-* Text: naive Bayes over hashed letter trigrams, fitted on a bounded sample of labelled rows.
+* Text: naive Bayes over hashed letter trigrams, fitted on a bounded sample of labelled rows. Every
+  declared language that has letters is learnt, however few its rows are.
 * Declared markup language: right with probability DECLARED_TRUST.
 * Address suffix: a country suffix speaks for its languages with probability SUFFIX_TRUST.
 * Host prior: language counts of the whole table, from the text alone, per suffix, domain and
@@ -27,8 +28,6 @@ from ..sources.stages import staged
 BUCKETS = 1 << 16
 # Rows of one language that the classifier is fitted on, in expectation.
 SAMPLE_ROWS = 2000
-# Declared languages with fewer rows than this are not learnt.
-MIN_ROWS = 5
 TEXT_WEIGHT = 0.5
 DECLARED_TRUST = 0.9
 SUFFIX_TRUST = 0.7
@@ -140,7 +139,7 @@ def fit(documents, label_col="lang", text_col="text", sample_rows=SAMPLE_ROWS):
     """Model from about `sample_rows` rows of each declared language, chosen by hash."""
     rows = documents.select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().where(f"count >= {MIN_ROWS}").collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)))
@@ -151,7 +150,9 @@ def fit(documents, label_col="lang", text_col="text", sample_rows=SAMPLE_ROWS):
     table = np.zeros((len(languages), BUCKETS))
     for r in counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         table[languages.index(r["lang"]), r["bucket"]] = r["n"]
-    return Model(languages, table)
+    # Labels of texts without a letter name no language.
+    learnt = np.flatnonzero(table.any(axis=1))
+    return Model([languages[k] for k in learnt], table[learnt])
 
 
 def _places(host):
