@@ -100,3 +100,27 @@ def test_ranks():
     asked, ends = rng.integers(0, 37, 200), rng.integers(0, 1001, 200)
     _, found = matrix.ranks(asked, np.zeros(200, np.int64), ends)
     assert found.tolist() == [int((values[:e] == s).sum()) for s, e in zip(asked, ends)]
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark, woven, listed):
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, t) for k, (_, t) in enumerate(woven)]
+    rows += [(None, woven[3][1])] * 20 + [(7, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert listed(op.report(df)) == brute(rows)
+    numbered = [tuple(r) for r in op._numbered(df, 4).collect()]
+    assert len({r[:2] for r in numbered}) == len(numbered) == len(rows)
+    for some in (df, df.where("doc_id > 7")):
+        assert [f.nullable for f in op._numbered(some, 4).schema][:2] == [False, False]
+    for key in (op.NO_ID, 7):
+        texts = [t or "" for k, _, t in sorted(numbered, key=lambda r: r[:2]) if k == key]
+        assert texts == sorted(texts) and len(texts) > 50
+
+
+def test_numbers_of_copies_have_no_bound():
+    import pyarrow as pa
+
+    text = " ".join(f"y{k}" for k in range(30))
+    columns = [pa.array([1, 1]), pa.array([1 << 24, 1 << 60]), pa.array([text, text])]
+    (out,) = op._list_segments([pa.RecordBatch.from_arrays(columns, names=["key", "copy", "text"])])
+    assert set(out.column("copy").to_pylist()) == {1 << 24, 1 << 60}
+    assert all(0 < p < 30 * op.START for p in out.column("place").to_pylist())

@@ -17,7 +17,9 @@
 4. A window that starts later than its first occurrence is removed; runs are gathered per
    document, and the documents are cut.
 
-The table's texts are dealt out once, by id; all later steps read that same exchange.
+The table's texts are dealt out once, by id; all later steps read that same exchange. Rows that share
+an id (null is one) are first sorted by id, text and a random number over ranges and numbered there, so
+that every row is a document of its own, however many rows an id has.
 
 Defined results: a null or empty text has no words; documents are ordered by id (null first),
 rows that share an id by text. Ids must be integers. Only the named columns are read.
@@ -28,9 +30,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.lineage import checked_broadcast
 from ..sources.stages import staged
 from .text import utf8
 
@@ -44,8 +46,8 @@ BLOCK_BYTES = 1 << 20
 NO_ID = -(1 << 63)
 # Bytes of a word's hash in the index, and of an anchor.
 HASH_BYTES = 6
-# A place is (copy of the document, first window, windows) in one number; START is one window.
-COPY, START = 1 << 40, 1 << 7
+# A place is (first window, windows) in one number; START is one window.
+START = 1 << 7
 # Windows in a segment; longer runs (text that repeats itself) are cut.
 LONGEST = 64
 GRAMS = WINDOW - GRAM + 1
@@ -207,22 +209,20 @@ def _count_anchors(batches):
 
 def _list_segments(batches):
     for batch in batches:
-        key, copy = batch.column("key").to_numpy(), batch.column("copy").to_numpy().astype(np.int64)
+        key, copy = batch.column("key").to_numpy(), batch.column("copy").to_numpy()
         for row, to, h, text in groups(batch.column("text")):
             starts, counts, anchors, _ = segments(h, text)
             owner = text[starts]
             start = starts - np.searchsorted(text, np.arange(to - row))[owner]
-            place = copy[row:to][owner] * COPY + start * START + counts
+            numbers = (key[row:to][owner], copy[row:to][owner], start * START + counts, anchors.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key[row:to][owner]), pa.array(place), pa.array(anchors.view(np.int64))],
-                names=["key", "place", "anchor"],
+                [pa.array(n) for n in numbers], names=["key", "copy", "place", "anchor"]
             )
 
 
-def _located(batch, places):
-    """Rows that the elements of the array `found` belong to, and which of them are of this copy."""
-    owner = np.repeat(np.arange(len(batch)), np.diff(batch.column("found").offsets.to_numpy()))
-    return owner, places // COPY == batch.column("copy").to_numpy()[owner]
+def _owners(batch):
+    """Rows that the elements of the array `found` belong to."""
+    return np.repeat(np.arange(len(batch)), np.diff(batch.column("found").offsets.to_numpy()))
 
 
 def _shortened(h):
@@ -242,14 +242,12 @@ def _name_segments(hot):
 
     def run(batches):
         for batch in batches:
-            key, copy = batch.column("key").to_numpy(), batch.column("copy").to_numpy().astype(np.int64)
-            place = batch.column("found").flatten().to_numpy()
-            owner, mine = _located(batch, place)
-            owner, place = owner[mine], place[mine]
+            key, copy = batch.column("key").to_numpy(), batch.column("copy").to_numpy()
+            place, owner = batch.column("found").flatten().to_numpy(), _owners(batch)
             for row, to, h, text in groups(batch.column("text")):
                 here = slice(*np.searchsorted(owner, [row, to]))
                 first_word = np.searchsorted(text, np.arange(to - row))
-                start = first_word[owner[here] - row] + place[here] % COPY // START
+                start = first_word[owner[here] - row] + place[here] // START
                 marks = np.zeros(len(h) + 1, np.int64)
                 np.add.at(marks, start, 1)
                 np.add.at(marks, start + place[here] % START, -1)
@@ -259,15 +257,16 @@ def _name_segments(hot):
                     xxhash.xxh128_digest(raw[w * HASH_BYTES : (w + n + WINDOW - 1) * HASH_BYTES])
                     for w, n in zip(starts.tolist(), counts.tolist())
                 ]
-                places = copy[row:to][doc] * COPY + (starts - first_word[doc]) * START + counts
+                places = (starts - first_word[doc]) * START + counts
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key[row:to][doc]),
+                        pa.array(copy[row:to][doc]),
                         pa.array(places),
                         pa.array(anchors.view(np.int64)),
                         pa.array(names, pa.binary()),
                     ],
-                    names=["key", "place", "anchor", "name"],
+                    names=["key", "copy", "place", "anchor", "name"],
                 )
 
     return run
@@ -275,23 +274,22 @@ def _name_segments(hot):
 
 def _cut_words(batches):
     """The word hashes of the first occurrence of every segment."""
-    kinds = dict(key=pa.int64(), place=pa.int64(), anchor=pa.int64(), name=pa.binary(), words=pa.binary())
+    numbers = dict.fromkeys(("key", "copy", "place", "anchor"), pa.int64())
+    kinds = numbers | dict(name=pa.binary(), words=pa.binary())
     for batch in batches:
-        keys = batch.column("key").to_pylist()
+        keys, copies = batch.column("key").to_pylist(), batch.column("copy").to_pylist()
         place, *fields = batch.column("found").flatten().flatten()
-        owner, mine = _located(batch, place.to_numpy())
-        owner, place = owner[mine], place.to_numpy()[mine]
-        fields = [f.filter(pa.array(mine)) for f in fields]
+        owner, place = _owners(batch), place.to_numpy()
         for row, to, h, text in groups(batch.column("text")):
             low, high = np.searchsorted(owner, [row, to])
             base = np.searchsorted(text, np.arange(to - row))[owner[low:high] - row]
-            first = (base + place[low:high] % COPY // START) * HASH_BYTES
+            first = (base + place[low:high] // START) * HASH_BYTES
             last = first + (place[low:high] % START + WINDOW - 1) * HASH_BYTES
             raw = _shortened(h)
             begins = place[low:high] // START * START
             columns = [c.tolist() for c in (owner[low:high], begins, first, last)]
             columns += [f.slice(low, high - low).to_pylist() for f in fields]
-            rows = [(keys[r], p, anchor, name, raw[a:b]) for r, p, a, b, anchor, name in zip(*columns)]
+            rows = [(keys[r], copies[r], p, anchor, name, raw[a:b]) for r, p, a, b, anchor, name in zip(*columns)]
             yield _batch_of(rows, **kinds)
 
 
@@ -421,14 +419,14 @@ def first_occurrences(texts, places):
 def _search_shards(batches):
     names, places, texts, words, last = [], [], [], 0, None
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("anchor", "name", "key", "place", "words"))
-        for anchor, name, key, place, text in zip(*columns):
+        columns = (batch.column(c).to_pylist() for c in ("anchor", "name", "key", "copy", "place", "words"))
+        for anchor, name, key, copy, place, text in zip(*columns):
             if anchor != last and words >= SHARD_WORDS:
                 yield from _shard(names, places, texts)
                 names, places, texts, words = [], [], [], 0
             last = anchor
             names.append(name)
-            places.append((key, place))
+            places.append((key, copy, place))
             texts.append(text)
             words += len(text) // HASH_BYTES
     if names:
@@ -443,9 +441,9 @@ def _lengthened(text):
 
 def _shard(names, places, texts):
     """First occurrences per segment; none where its windows first occur in the segment itself."""
-    documents = sorted({(key, place // COPY) for key, place in places})
+    documents = sorted({(key, copy) for key, copy, _ in places})
     number = {d: k for k, d in enumerate(documents)}
-    own = np.array([(number[k, p // COPY] << 32) + p % COPY // START for k, p in places], np.int64)
+    own = np.array([(number[k, c] << 32) + p // START for k, c, p in places], np.int64)
     found = first_occurrences([_lengthened(t) for t in texts], own)
     document_keys, document_copies = np.array(documents, np.int64).T
     for at in range(0, len(names), 4096):
@@ -454,18 +452,20 @@ def _shard(names, places, texts):
         flat = np.concatenate([found[k] for k in elsewhere if k is not None] or [np.zeros(0, np.int64)])
         sizes = [0 if k is None else len(found[k]) for k in elsewhere]
         offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        keys = document_keys[flat >> 32]
-        windows = document_copies[flat >> 32] * COPY + (flat & 0xFFFFFFFF) * START
-        own_keys, own_places = zip(*(places[k] for k in rows))
+        keys, copies = document_keys[flat >> 32], document_copies[flat >> 32]
+        windows = (flat & 0xFFFFFFFF) * START
+        own_keys, own_copies, own_places = zip(*(places[k] for k in rows))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(names[at : at + 4096], pa.binary()),
                 pa.array(own_keys, pa.int64()),
+                pa.array(own_copies, pa.int64()),
                 pa.array(own_places, pa.int64()),
                 pa.ListArray.from_arrays(offsets, pa.array(keys)),
+                pa.ListArray.from_arrays(offsets, pa.array(copies)),
                 pa.ListArray.from_arrays(offsets, pa.array(windows)),
             ],
-            names=["name", "own_key", "own_place", "keys", "places"],
+            names=["name", "own_key", "own_copy", "own_place", "keys", "copies", "places"],
         )
 
 
@@ -486,18 +486,21 @@ def _compare(batches):
             out[(np.diff(values.offsets.to_numpy()) > 0)[row]] = values.flatten().to_numpy()
             return out
 
-        keys, places = first("own_key", "keys", 0), first("own_place", "places", offset)
-        key, place = batch.column("key").to_numpy()[row], (place - n)[row] + offset
-        later = (keys < key) | (keys == key) & (places < place)
+        keys, copies = first("own_key", "keys", 0), first("own_copy", "copies", 0)
+        places = first("own_place", "places", offset)
+        key, copy = batch.column("key").to_numpy()[row], batch.column("copy").to_numpy()[row]
+        place = (place - n)[row] + offset
+        earlier = (copies < copy) | (copies == copy) & (places < place)
+        later = (keys < key) | (keys == key) & earlier
         joined = later[:-1] & later[1:] & (row[1:] == row[:-1])
         begins = np.flatnonzero(later & ~np.concatenate([[False], joined])[: len(later)])
         ends = np.flatnonzero(later & ~np.concatenate([joined, [False]])[: len(later)])
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(key[begins]),
-                pa.array((place[begins] // COPY).astype(np.int32)),
-                pa.array((place[begins] % COPY // START).astype(np.int32)),
-                pa.array((place[ends] % COPY // START + WINDOW).astype(np.int32)),
+                pa.array(copy[begins]),
+                pa.array((place[begins] // START).astype(np.int32)),
+                pa.array((place[ends] // START + WINDOW).astype(np.int32)),
             ],
             names=["key", "copy", "first", "last"],
         )
@@ -507,11 +510,10 @@ def _remove(digest):
     def run(batches):
         for batch in batches:
             total, removed, kept_texts = [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("copy", "text", "runs"))
-            for copy, text, runs in zip(*columns):
+            for text, runs in zip(*(batch.column(c).to_pylist() for c in ("text", "runs"))):
                 words = words_of(text)
                 kept, at = [], 0
-                for first, last in sorted((r["first"], r["last"]) for r in runs or () if r["copy"] == copy):
+                for first, last in sorted((r["first"], r["last"]) for r in runs or ()):
                     if first > at:
                         kept += words[at:first]
                     at = max(at, last)
@@ -541,6 +543,25 @@ def repeated_anchors(docs):
     return counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
 
 
+def _numbered(docs, parts):
+    """(key, copy, text) with a pair of its own for every row, in the order of id and text."""
+    docs = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
+    repeated = checked_broadcast(docs.groupBy("key").count().where("count > 1").select("key"))
+    # Always 0, but no constant, which the optimizer would take out of the exchange and the joins. Neither
+    # number may be nullable, else the joins filter nulls first and no longer share the exchange.
+    copy = F.coalesce(F.pmod("key", F.lit(1)), F.lit(0).cast("long")).alias("copy")
+    alone = docs.join(repeated, "key", "left_anti").select("key", copy, "text")
+    if repeated.isEmpty():
+        return alone
+    order = ["key", "text", "salt"]
+    ordered = docs.join(repeated, "key").withColumn("salt", F.rand(0)).repartitionByRange(parts, *order)
+    # These numbers rise with the range, then with the place in it.
+    ordered = ordered.sortWithinPartitions(*order).withColumn("copy", F.monotonically_increasing_id())
+    both = alone.unionByName(staged(ordered.select("key", "copy", "text"), "copies"))
+    numbers = [F.coalesce(c, F.lit(other).cast("long")).alias(c) for c, other in (("key", NO_ID), ("copy", 0))]
+    return both.select(*numbers, "text")
+
+
 def dedupe(documents, id_col="doc_id", text_col="text", digest=False):
     """doc_id, n_words, n_removed, kept (the kept words, or their digest) of every document."""
     spark = documents.sparkSession
@@ -552,47 +573,47 @@ def dedupe(documents, id_col="doc_id", text_col="text", digest=False):
     frequent = [r["anchor"] for r in anchors.where(F.col("n") > limit).select("anchor").collect()]
     hot = spark.sparkContext.broadcast(np.sort(np.array(frequent, np.int64).view(np.uint64)))
 
-    key = F.coalesce("doc_id", F.lit(NO_ID)).alias("key")
-    copy = F.row_number().over(Window.partitionBy("key").orderBy("text")).alias("copy")
     # Every use reads the same columns, so that all share one exchange of the texts.
-    dealt = docs.select(key, "text").repartition(parts, "key").select("key", "text", copy)
-    listed = dealt.mapInArrow(_list_segments, "key long, place long, anchor long")
-    found = listed.join(anchors.select("anchor"), "anchor", "left_semi").groupBy("key").agg(
+    document = ["key", "copy"]
+    dealt = _numbered(docs, parts).repartition(parts, *document)
+    listed = dealt.mapInArrow(_list_segments, "key long, copy long, place long, anchor long")
+    found = listed.join(anchors.select("anchor"), "anchor", "left_semi").groupBy(*document).agg(
         F.collect_list("place").alias("found")
     )
-    named = dealt.join(found, "key").mapInArrow(
-        _name_segments(hot), "key long, place long, anchor long, name binary"
+    named = dealt.join(found, document).mapInArrow(
+        _name_segments(hot), "key long, copy long, place long, anchor long, name binary"
     )
     chosen = (
         named.groupBy("name")
-        .agg(F.min(F.struct("key", "place", "anchor")).alias("first"))
+        .agg(F.min(F.struct("key", "copy", "place", "anchor")).alias("first"))
         .select("first.*", "name")
-        .groupBy("key")
+        .groupBy(*document)
         .agg(F.collect_list(F.struct("place", "anchor", "name")).alias("found"))
     )
     shards = (
-        dealt.join(chosen, "key")
+        dealt.join(chosen, document)
         .mapInArrow(
-            _cut_words, "key long, place long, anchor long, name binary, words binary"
+            _cut_words, "key long, copy long, place long, anchor long, name binary, words binary"
         )
         .repartition(parts, "anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(
             _search_shards,
-            "name binary, own_key long, own_place long, keys array<long>, places array<long>",
+            "name binary, own_key long, own_copy long, own_place long, "
+            "keys array<long>, copies array<long>, places array<long>",
         )
     )
     runs = (
-        named.select("name", "key", "place")
+        named.select("name", "key", "copy", "place")
         .join(shards, "name")
         .drop("name")
-        .mapInArrow(_compare, "key long, copy int, first int, last int")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("copy", "first", "last")).alias("runs"))
+        .mapInArrow(_compare, "key long, copy long, first int, last int")
+        .groupBy(*document)
+        .agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     )
     return (
-        dealt.join(runs, "key", "left")
-        .select(F.nullif("key", F.lit(NO_ID)).alias("doc_id"), "copy", "text", "runs")
+        dealt.join(runs, document, "left")
+        .select(F.nullif("key", F.lit(NO_ID)).alias("doc_id"), "text", "runs")
         .mapInArrow(
             _remove(digest),
             f"doc_id long, n_words long, n_removed long, {'kept_sha256' if digest else 'kept'} string",
