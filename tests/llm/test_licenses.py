@@ -66,6 +66,14 @@ def test_notices(spark):
     assert [f[2] for f in scanned(spark, texts)] == ["CC-BY-NC-4.0,MIT", "Apache-2.0", "", "GPL-3.0"]
 
 
+def test_every_form_of_a_notice(spark):
+    names = {"CC BY 4.0": "CC-BY-4.0", "CC BY-NC 4.0": "CC-BY-NC-4.0", "CC BY-SA 4.0": "CC-BY-SA-4.0"}
+    forms = ("Released under", "DISTRIBUTED UNDER", "released,  under the", "Distributed\tunder the")
+    texts = [f"x\n{form} {name}.\ny" for form in forms for name in names]
+    assert [f[2] for f in scanned(spark, texts)] == list(names.values()) * len(forms)
+    assert len(op.notices()) == len(op.NAMES) * len(op.FORMS) * 2
+
+
 @pytest.mark.skipif(not os.path.isdir(COMMON), reason="no licence texts here")
 def test_known_texts(spark):
     names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1",

@@ -130,15 +130,14 @@ NAMES = [
     ("MPL-2.0", "mozilla public license version 2 0"),
 ]
 FORMS = ["licensed", "released", "distributed", "this work is licensed", "this project is licensed"]
-# Every notice of this rule contains it, also before spellings are made one.
-NOTICE_MARK = "licen"
+# Every notice of this rule matches it, also before spellings are made one.
+NOTICE_MARK = r"(?is)licen|under.*cc"
 
 
 def notices():
     """(licence, digest) of every form with every name, with and without an article."""
     lines = [(k, f"{form} under {the}{n}") for k, n in NAMES for form in FORMS for the in ("", "the ")]
-    # A name like "cc by 4 0" brings the mark only with a form that does.
-    return [(k, hashlib.sha256(t.encode()).hexdigest()) for k, t in lines if NOTICE_MARK in t]
+    return [(k, hashlib.sha256(t.encode()).hexdigest()) for k, t in lines]
 
 
 def known_texts(spark):
@@ -151,7 +150,7 @@ def scan(documents, id_col="doc_id", text_col="text"):
     """(doc_id, digest, license, notices): the licence that the whole text is, and notice lines."""
     text = F.col(text_col)
     by_digest = F.create_map(*[F.lit(x) for k, d in notices() for x in (d, k)])
-    marked = F.filter(F.split(text, "\n"), lambda line: F.contains(F.lower(line), F.lit(NOTICE_MARK)))
+    marked = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(NOTICE_MARK)))
     named = F.transform(marked, lambda line: F.element_at(by_digest, digest(spaced(line))))
     found = F.array_sort(F.array_distinct(F.filter(named, lambda x: x.isNotNull())))
     # Read more than once below, so Spark works it out once, in a projection of its own.
