@@ -127,3 +127,15 @@ def test_languages_of_few_rows(spark, n):
         assert all(found[r[0]] == (r[2], True) for r in rows if r[2] != "zz")
         assert "zz" not in op.fit(df).languages
         assert op.accepted(df, host=F.col("source")).count() == len(rows) - (rows != few)
+
+
+def test_copies_of_a_text_are_drawn_once(spark):
+    rng = random.Random(5)
+    texts = [text_in(rng, "de", 20) for _ in range(3)]
+    rows = [(texts[k % 3], "de") for k in range(300)] + [(text_in(rng, "fr", 20), "fr") for _ in range(200)]
+    rows += [(rows[-1][0], "fr")] * 300
+    df = spark.createDataFrame(rows, "text string, lang string")
+    whole, once = op.fit(df, sample_rows=2000), op.fit(df.distinct(), sample_rows=2000)
+    assert whole.languages == ["de", "fr", "und"] and (whole.table == once.table).all()
+    drawn = op.fit(df, sample_rows=3)
+    assert drawn.languages[0] == "de" and (drawn.table[:, 0] == once.table[:, 0]).all()

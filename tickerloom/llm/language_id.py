@@ -26,7 +26,7 @@ from ..operators.lineage import checked_broadcast
 from ..sources.stages import staged
 
 BUCKETS = 1 << 16
-# Rows of one language that the classifier is fitted on, in expectation.
+# Different texts of one language that the classifier is fitted on, in expectation.
 SAMPLE_ROWS = 2000
 TEXT_WEIGHT = 0.5
 DECLARED_TRUST = 0.9
@@ -136,16 +136,17 @@ def _count_trigrams(batches):
 
 
 def fit(documents, label_col="lang", text_col="text", sample_rows=SAMPLE_ROWS):
-    """Model from about `sample_rows` rows of each declared language, chosen by hash."""
+    """Model from about `sample_rows` different texts of each declared language, chosen by hash."""
     rows = documents.select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    different = rows.select("lang", F.xxhash64("text").alias("mark")).distinct()
+    sizes = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_rows / sizes[k]))])
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.where(F.col("lang").isin(languages)).where(draw < share[F.col("lang")])
+    chosen = rows.where(F.col("lang").isin(languages)).where(draw < share[F.col("lang")]).distinct()
     counts = chosen.mapInArrow(_count_trigrams, "lang string, bucket int, n long")
     table = np.zeros((len(languages), BUCKETS))
     for r in counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
