@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import decontamination, html_text, language_id, licenses, merkle, packing, pii, simhash
-from . import substring_dedup, token_store
+from . import decontamination, fill_middle, html_text, language_id, licenses, merkle, packing, pii
+from . import simhash, substring_dedup, token_store, vector_codes
 
 
 def tokenizer_file(name="word_bpe_49k.json"):
@@ -57,6 +57,14 @@ def op10_licenses(spark, d):
     return licenses.report(_table(spark, d, "documents"))
 
 
+def op12_vector_codes(spark, d):
+    return vector_codes.report(_table(spark, d, "embeddings"))
+
+
+def op13_fill_middle(spark, d):
+    return fill_middle.report(_table(spark, d, "documents"))
+
+
 def language_id_pages(spark, d):
     """Language of web pages: extracted text, `lang` of the html element, host of the address."""
     pages = _table(spark, d, "pages")
@@ -78,6 +86,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_fill_middle": op13_fill_middle,
     "language_id_pages": language_id_pages,
 }
 
@@ -168,8 +178,93 @@ SELECT doc_id, digest, license, coalesce(notices, '') AS notices
 FROM texts LEFT JOIN known USING (digest) LEFT JOIN found USING (rid)
 """
 
+
+
+def _vector_codes_sql(rounds=vector_codes.ROUNDS):
+    """Plain distances to all entries, one set of tables for each round."""
+    steps = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        """parts AS MATERIALIZED (
+  SELECT rid, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x FROM kept, range(4) AS r(p)
+)""",
+        "book0 AS MATERIALIZED (SELECT p, rid - 1 AS e, x AS c FROM parts WHERE rid <= 256)",
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""near{k} AS MATERIALIZED (
+  SELECT rid, p, min((d, e)) AS best FROM (
+    SELECT rid, p, e,
+           list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM parts JOIN book{k} USING (p)
+  ) GROUP BY rid, p
+)""")
+        if k < rounds:
+            steps.append(f"""book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} AS b LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY j) AS c FROM (
+      SELECT p, e, j, CAST(floor(sum(value) / count(*)) AS BIGINT) AS mean FROM (
+        SELECT n.p, n.best[2] AS e, unnest(x) AS value, unnest(range(1, len(x) + 1)) AS j
+        FROM near{k} AS n JOIN parts USING (rid, p)
+      ) GROUP BY p, e, j
+    ) GROUP BY p, e
+  ) AS m USING (p, e)
+)""")
+    return f"""
+WITH {", ".join(steps)},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code,
+         CAST(sum(best[1]) AS BIGINT) AS error
+  FROM near{rounds} GROUP BY rid
+),
+digest AS (
+  SELECT sha256(coalesce(string_agg(array_to_string(c, ','), ',' ORDER BY p, e), '')) AS codebooks_sha256
+  FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rid), digest
+"""
+
+
+FILL_MIDDLE = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+),
+t AS (
+  SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS w,
+         [CAST('0x' || substr(h, 8 * k + 1, 8) AS UBIGINT) FOR k IN range(4)] AS draw
+  FROM d
+),
+c AS (
+  SELECT *, least(draw[1] % (len(w) + 1), draw[2] % (len(w) + 1)) AS a,
+         greatest(draw[1] % (len(w) + 1), draw[2] % (len(w) + 1)) AS b,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR draw[3] % 100 >= 90 THEN 'plain'
+              WHEN draw[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM t
+),
+p AS (
+  SELECT *, array_to_string(w[1 : a], '') AS prefix, array_to_string(w[a + 1 : b], '') AS middle,
+         array_to_string(w[b + 1 :], '') AS suffix
+  FROM c
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
 ORACLE = {
     "op1_decontamination": DECONTAMINATION,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op10_licenses": LICENSES,
+    "op12_vector_codes": _vector_codes_sql(),
+    "op13_fill_middle": FILL_MIDDLE,
 }
