@@ -8,7 +8,7 @@ from tickerloom.llm.queries import ORACLE, QUERIES
 
 
 def test_registered():
-    assert {f"op{n}_" for n in range(1, 11)} <= {q.partition("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} <= {q.partition("_")[0] + "_" for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(driver.queries())
     assert set(ORACLE) <= set(QUERIES)
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from . import decontamination, fill_middle, html_text, language_id, licenses, merkle, packing, pii
-from . import simhash, substring_dedup, token_store, vector_codes
+from . import simhash, substring_dedup, suffix_dedup, token_store, vector_codes
 
 
 def tokenizer_file(name="word_bpe_49k.json"):
@@ -57,6 +57,10 @@ def op10_licenses(spark, d):
     return licenses.report(_table(spark, d, "documents"))
 
 
+def op11_suffix_dedup(spark, d):
+    return suffix_dedup.report(_table(spark, d, "documents"))
+
+
 def op12_vector_codes(spark, d):
     return vector_codes.report(_table(spark, d, "embeddings"))
 
@@ -86,6 +90,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_pii": op9_pii,
     "op10_licenses": op10_licenses,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_vector_codes": op12_vector_codes,
     "op13_fill_middle": op13_fill_middle,
     "language_id_pages": language_id_pages,
@@ -180,6 +185,42 @@ FROM texts LEFT JOIN known USING (digest) LEFT JOIN found USING (rid)
 
 
 
+# Windows are pieces of the hexadecimal digits, two for each byte.
+SUFFIX_DEDUP = """
+WITH d AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text NULLS FIRST) AS rid, doc_id,
+         hex(encode(coalesce(text, ''))) AS h
+  FROM documents
+),
+later AS (
+  SELECT rid, i FROM (
+    SELECT rid, i, row_number() OVER (PARTITION BY g ORDER BY rid, i) AS n
+    FROM (SELECT rid, i, substr(h, 2 * i + 1, 200) AS g
+          FROM (SELECT rid, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM d WHERE len(h) >= 200))
+  ) WHERE n > 1
+),
+spans AS (
+  SELECT rid, min(i) AS a, max(i) + 100 AS b FROM (
+    SELECT rid, i, sum(CASE WHEN i <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY rid ORDER BY i) AS span
+    FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM later)
+  ) GROUP BY rid, span
+),
+pieces AS (
+  SELECT rid, a, b, lag(b, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS start, a AS finish FROM spans
+  UNION ALL
+  SELECT rid, NULL, NULL, coalesce(max(b), 0), len(any_value(h)) // 2 FROM d LEFT JOIN spans USING (rid) GROUP BY rid
+),
+kept AS (
+  SELECT rid, CAST(count(a) AS BIGINT) AS n_spans, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed,
+         string_agg(substr(h, 2 * start + 1, 2 * (finish - start)), '' ORDER BY start) AS text
+  FROM pieces JOIN d USING (rid) GROUP BY rid
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, n_removed, n_spans,
+       sha256(unhex(text)) AS kept_sha256
+FROM d JOIN kept USING (rid)
+"""
+
+
 def _vector_codes_sql(rounds=vector_codes.ROUNDS):
     """Plain distances to all entries, one set of tables for each round."""
     steps = [
@@ -265,6 +306,7 @@ ORACLE = {
     "op1_decontamination": DECONTAMINATION,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op10_licenses": LICENSES,
+    "op11_suffix_dedup": SUFFIX_DEDUP,
     "op12_vector_codes": _vector_codes_sql(),
     "op13_fill_middle": FILL_MIDDLE,
 }
