@@ -344,6 +344,79 @@ def target_tables():
     return f"{BARS}, targeted AS (SELECT *, {TARGET_COLUMNS} FROM bars), long AS ({rows})"
 
 
+BOOSTED_TREES, BOOSTED_LEAVES, BOOSTED_STEP = 2, 8, 0.1
+
+
+def boosted_ctes(trees=BOOSTED_TREES, leaves=BOOSTED_LEAVES, step=BOOSTED_STEP):
+    """Bins, then for every split the sums of all leaves and the best cut of all; scores at the end."""
+    columns = listing(*[r6(c) for c in FEATURES])
+    whole = "CAST(floor({} * 65536 + 0.5::DOUBLE) AS BIGINT)"
+    ctes = [
+        TRAINING,
+        f"""r AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY symbol, date) AS rid, date, symbol, is_test,
+         {r6("target_smooth", "y")}, {r6("exp(1.5::DOUBLE * time_rank)", "w")}, {columns}
+  FROM training)""",
+        f"""cells AS MATERIALIZED (
+  SELECT rid, is_test, unnest(range({len(FEATURES)})) AS f,
+         unnest([{", ".join(f"{c}::DOUBLE" for c in FEATURES)}]) AS x
+  FROM r)""",
+        """edges AS MATERIALIZED (
+  SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS k FROM (
+    SELECT DISTINCT f, x FROM (
+      SELECT f, x, row_number() OVER (PARTITION BY f ORDER BY x) AS p, count(*) OVER (PARTITION BY f) AS n
+      FROM cells WHERE NOT is_test)
+    JOIN (SELECT unnest(range(1, 255)) AS j) ON p = (j * n + 254) // 255))""",
+        """bins AS MATERIALIZED (
+  SELECT c.rid, c.f, c.is_test, 1 + coalesce(e.k, 0) AS b
+  FROM cells AS c ASOF LEFT JOIN edges AS e ON c.f = e.f AND c.x > e.x)""",
+        f"""score0 AS MATERIALIZED (
+  SELECT rid, (SELECT CAST(sum({whole.format("w * y")}) AS DOUBLE) / CAST(sum({whole.format("w")}) AS DOUBLE)
+               FROM r WHERE NOT is_test) AS score
+  FROM r)""",
+    ]
+    for t in range(1, trees + 1):
+        ctes += [
+            f"""grad{t} AS MATERIALIZED (
+  SELECT rid, {whole.format("(w * (y - score))")} AS g, {whole.format("w")} AS h
+  FROM r JOIN score{t - 1} USING (rid))""",
+            f"leaf{t}_0 AS MATERIALIZED (SELECT rid, CAST(1 AS BIGINT) AS path FROM r)",
+        ]
+        for k in range(leaves - 1):
+            ctes += [
+                f"""best{t}_{k} AS MATERIALIZED (
+  SELECT {t} AS tree, path, f, b, n, gl * gl / hl + gr * gr / hr - g * g / h AS gain FROM (
+    SELECT path, f, b, nl, hl, gl, n, h, g, n - nl AS nr, h - hl AS hr, g - gl AS gr FROM (
+      SELECT path, f, b, sum(n) OVER upto AS nl, CAST(sum(h) OVER upto AS DOUBLE) AS hl,
+             CAST(sum(g) OVER upto AS DOUBLE) AS gl, sum(n) OVER every AS n,
+             CAST(sum(h) OVER every AS DOUBLE) AS h, CAST(sum(g) OVER every AS DOUBLE) AS g
+      FROM (SELECT path, f, b, sum(g) AS g, sum(h) AS h, count(*) AS n
+            FROM bins JOIN leaf{t}_{k} USING (rid) JOIN grad{t} USING (rid)
+            WHERE NOT is_test GROUP BY path, f, b)
+      WINDOW upto AS (PARTITION BY path, f ORDER BY b), every AS (PARTITION BY path, f)))
+  WHERE nl >= 20 AND nr >= 20 AND hl >= 66 AND hr >= 66 AND gl * gl / hl + gr * gr / hr - g * g / h > 0
+  ORDER BY gain DESC, path, f, b LIMIT 1)""",
+                f"""leaf{t}_{k + 1} AS MATERIALIZED (
+  SELECT l.rid, CASE WHEN s.path IS NULL THEN l.path
+                     ELSE 2 * l.path + CAST(c.b > s.b AS BIGINT) END AS path
+  FROM leaf{t}_{k} AS l LEFT JOIN best{t}_{k} AS s USING (path)
+       LEFT JOIN bins AS c ON c.rid = l.rid AND c.f = s.f)""",
+            ]
+        ctes.append(f"""score{t} AS MATERIALIZED (
+  SELECT rid, score + value * {step}::DOUBLE AS score
+  FROM score{t - 1} JOIN leaf{t}_{leaves - 1} USING (rid) JOIN (
+    SELECT path, CAST(sum(g) AS DOUBLE) / CAST(sum(h) AS DOUBLE) AS value
+    FROM leaf{t}_{leaves - 1} JOIN grad{t} USING (rid) JOIN r USING (rid) WHERE NOT is_test GROUP BY path)
+  USING (path))""")
+    splits = " UNION ALL ".join(
+        f"SELECT * FROM best{t}_{k}" for t in range(1, trees + 1) for k in range(leaves - 1)
+    )
+    ctes.append(f"splits AS ({splits})")
+    return ", ".join(ctes)
+
+
+_FEATURE = "[" + ", ".join(f"'{c}'" for c in FEATURES) + "]"
+
 ORACLE = {
     "returns": query(
         f"{BARS}, {RETURNED}", listing("symbol", "date", r6("return_1d"), r6("return_5d")), "returned"
@@ -902,6 +975,16 @@ ORACLE = {
         ),
         "training",
     ),
+    "boosted_splits": query(
+        boosted_ctes(),
+        f"CAST(tree AS BIGINT) AS tree, {_FEATURE}[splits.f + 1] AS feature, {r6('x', 'threshold')}, {s9('gain')}, CAST(n AS BIGINT) AS rows",
+        "splits LEFT JOIN edges ON edges.f = splits.f AND edges.k = splits.b",
+    ),
+    "boosted_scores": query(
+        boosted_ctes(),
+        listing("date", "symbol", "is_test", r6("score", "prediction")),
+        f"r JOIN score{BOOSTED_TREES} USING (rid)",
+    ),
     "train_predict_checks": query(
         TRAINING,
         "date, count(*) AS names, true AS finite, true AS weights_sum, true AS few_longs",

@@ -40,12 +40,17 @@ def scratch(spark):
         yield folder
     finally:
         _SCRATCH.reset(outer)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
 
 
-def staged(df, name="stage", compression="zstd"):
+def delete(spark, folder):
+    """Delete a folder made by `new_folder`."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def staged(df, name="stage", compression="zstd", path=None):
     """Write `df` as Parquet and read it back: a lost executor costs nothing that is done."""
-    path = new_folder(df.sparkSession, name)
+    path = path or new_folder(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
