@@ -31,11 +31,11 @@ def _cut(path, capacity):
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches):
-        encode = encoder(path).encode
+        encode_all = encoder(path).encode_all
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                ids = encode(text) + end
+            for row, ids in enumerate(encode_all(batch.column("text").to_pylist())):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     rows.append(row)

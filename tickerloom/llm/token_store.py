@@ -215,8 +215,9 @@ def _write(folder, tokenizer):
                 system.create_dir(name.rpartition("/")[0], recursive=True)
                 sink = system.open_output_stream(name)
                 writer = ShardWriter(sink, 2 if coder.vocabulary <= 1 << 16 else 4)
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                writer.add(key, coder.encode(text) + end)
+            texts = coder.encode_all(batch.column("text").to_pylist())
+            for key, ids in zip(batch.column("doc_id").to_pylist(), texts):
+                writer.add(key, ids + end)
         if writer is not None:
             writer.finish()
             sink.close()

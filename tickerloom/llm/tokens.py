@@ -1,26 +1,88 @@
 """Token ids of whole texts with a public tokenizer file.
 
-The tokenizer drops white space and never looks across it, so a text's ids are those of its
-white-space separated chunks in order. Chunks repeat, so their ids are kept in a cache of
-bounded size. A chunk of Latin letters, digits and ASCII marks is cut into pre-tokens here and
-given to the library's BPE model; any other chunk goes through the whole library pipeline.
+The tokenizer drops white space and never looks across it. Texts are taken a few megabytes at a time
+and cut into pre-tokens here; the distinct ones of such a part are looked up in a cache of bounded
+size, and the merges of all new ones of one length are applied side by side. That holds for chunks of
+Latin letters, digits and ASCII marks; any other chunk goes through the whole library pipeline.
 """
 
+import json
 import re
 
 import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
+# Pre-tokens in each half of the cache; a full young half becomes the old one.
 CACHED_CHUNKS = 250_000
 END_ID = 1
+# Characters that are encoded together.
+PART_CHARS = 1 << 21
+# Longer pre-tokens go to the library one by one.
+LONGEST_PIECE = 32
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-# No apostrophe (contractions) and no '<' (special tokens).
-_PLAIN = re.compile(rf"[{_LETTERS}0-9!-&(-/:;=-@\[-`{{-~]+")
-_PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+# An apostrophe (contractions), '<' (special tokens), or a character beyond Latin letters.
+_ODD = re.compile(rf"[^\s{_LETTERS}0-9!-&(-/:;=-@\[-`{{-~]")
+_PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
 # Python splits at these, the tokenizer doesn't.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile(r"\s")
+_NO_RANK = np.int64(1 << 40)
+
+
+class Merges:
+    """Byte-pair merges of many words of one length at once."""
+
+    def __init__(self, tokenizer):
+        model = json.loads(tokenizer.to_str())["model"]
+        vocabulary, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        self.size = len(vocabulary)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        keys = np.array([vocabulary[a] * self.size + vocabulary[b] for a, b in pairs], np.int64)
+        merged = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ranks, self.merged = keys[order], order, merged[order]
+        self.inner = {c: i for c, i in vocabulary.items() if len(c) == 1}
+        self.last = {c: vocabulary[c + suffix] for c in self.inner if c + suffix in vocabulary}
+
+    def _find(self, left, right):
+        """Rank of each pair and the place of its merge."""
+        keys = left * self.size + right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.ranks[at], _NO_RANK), at
+
+    def encode(self, words):
+        """Ids of each word, all of one length, as little-endian unsigned 32-bit bytes."""
+        ids = np.array([[*map(self.inner.__getitem__, w[:-1]), self.last[w[-1]]] for w in words], np.int64)
+        out, row = [None] * len(words), np.arange(len(words))
+        ranks, found = self._find(ids[:, :-1], ids[:, 1:])
+        while len(row):
+            best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(row), np.int64)
+            here = np.arange(len(row))
+            more = ranks[here, best] < _NO_RANK if ranks.shape[1] else np.zeros(len(row), bool)
+            done = np.flatnonzero(~more)
+            raw, step = np.ascontiguousarray(ids[done], "<u4").tobytes(), 4 * ids.shape[1]
+            for k, r in enumerate(row[done].tolist()):
+                out[r] = raw[k * step : (k + 1) * step]
+            row, ids, ranks, found, best = (x[more] for x in (row, ids, ranks, found, best))
+            if not len(row):
+                return out
+            here = np.arange(len(row))
+            merged = self.merged[found[here, best]]
+            # One symbol and one pair fewer; only the pairs beside the merged symbol are new.
+            columns = np.arange(ids.shape[1] - 1)
+            ids = np.take_along_axis(ids, columns + (columns > best[:, None]), axis=1)
+            ids[here, best] = merged
+            columns = columns[:-1]
+            source = columns + (columns >= best[:, None])
+            ranks, found = (np.take_along_axis(x, source, axis=1) for x in (ranks, found))
+            for side in (-1, 0):
+                at = best + side
+                rows = np.flatnonzero((at >= 0) & (at < ids.shape[1] - 1))
+                at = at[rows]
+                ranks[rows, at], found[rows, at] = self._find(ids[rows, at], ids[rows, at + 1])
+        return out
 
 
 class Encoder:
@@ -33,38 +95,85 @@ class Encoder:
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
         self.as_bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
-        self.chunks, self.pieces = {}, {}
+        self.merges = Merges(self.tokenizer)
+        self.young, self.old = {}, {}
 
     def _whole(self, text):
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _piece(self, piece):
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= CACHED_CHUNKS:
-                self.pieces.clear()
-            found = self.model.tokenize(piece.translate(self.as_bytes))
-            ids = self.pieces[piece] = np.array([t.id for t in found], "<u4").tobytes()
-        return ids
-
-    def _chunk(self, chunk):
-        if len(self.chunks) >= CACHED_CHUNKS:
-            self.chunks.clear()
-        if _PLAIN.fullmatch(chunk):
-            ids = b"".join([self._piece(p) for p in _PIECES.findall(chunk.lower())])
-        else:
-            ids = self._whole(chunk)
-        self.chunks[chunk] = ids
-        return ids
+    def _one_piece(self, piece):
+        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+
+    def _pieces(self, text):
+        """Pre-tokens of a text; chunks that can't be cut here stay whole, marked by a line end."""
+        if not _ODD.search(text):
+            return _PIECES.findall(text.lower())
+        out, plain = [], []
+        for chunk in text.split():
+            if _ODD.search(chunk):
+                out += _PIECES.findall(" ".join(plain).lower())
+                out.append("\n" + chunk)
+                plain = []
+            else:
+                plain.append(chunk)
+        return out + _PIECES.findall(" ".join(plain).lower())
+
+    def _ids(self, pieces):
+        """Ids of each of the distinct pieces."""
+        known, new = {}, {}
+        for piece in pieces:
+            ids = self.young.get(piece) or self.old.get(piece)
+            if ids is not None:
+                known[piece] = ids
+            elif piece[0] == "\n":
+                known[piece] = self._whole(piece)
+            else:
+                shown = piece if piece.isascii() else piece.translate(self.as_bytes)
+                new.setdefault(len(shown), []).append((piece, shown))
+        for length, found in new.items():
+            names, shown = zip(*found)
+            many = self.merges.encode(shown) if length <= LONGEST_PIECE else map(self._one_piece, shown)
+            known.update(zip(names, many))
+        self.young.update(known)
+        if len(self.young) >= CACHED_CHUNKS:
+            self.young, self.old = {}, self.young
+        return known
+
+    def encode_all(self, texts):
+        """The ids of each text, in order."""
+        waiting, size = [], 0
+        for text in texts:
+            text = text or ""
+            if len(text) > PART_CHARS and not _SEPARATORS.search(text):
+                yield from self._joined(waiting)
+                waiting, size = [], 0
+                yield b"".join(ids for part in _parts(text) for ids in self._joined([self._pieces(part)]))
+                continue
+            waiting.append(self._whole(text) if _SEPARATORS.search(text) else self._pieces(text))
+            size += len(text)
+            if size >= PART_CHARS:
+                yield from self._joined(waiting)
+                waiting, size = [], 0
+        yield from self._joined(waiting)
+
+    def _joined(self, waiting):
+        known = self._ids(set().union(*(w for w in waiting if isinstance(w, list))))
+        for w in waiting:
+            yield w if isinstance(w, bytes) else b"".join(map(known.__getitem__, w))
 
     def encode(self, text):
-        if not text:
-            return b""
-        if _SEPARATORS.search(text):
-            return self._whole(text)
-        get, miss = self.chunks.get, self._chunk
-        return b"".join([get(c) or miss(c) for c in text.split()])
+        return next(self.encode_all([text]))
+
+
+def _parts(text):
+    """A long text in parts that end at white space."""
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + PART_CHARS)
+        to = space.start() if space else len(text)
+        yield text[at:to]
+        at = to
 
 
 _ENCODERS = {}
