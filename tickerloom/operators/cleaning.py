@@ -3,6 +3,7 @@
 from functools import reduce
 from operator import or_
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..functions.numeric import count_where, finite
@@ -26,16 +27,49 @@ def infinite_to_null(df):
     return df.select(*[finite(c).alias(c) if c in floats else F.col(c) for c in df.columns])
 
 
-def clean_bars(df, drop_zero_volume=True, date_formats=()):
-    """Drop rows with missing or infinite values, copies, zero volume and unreadable dates."""
-    clean = infinite_to_null(df).dropna("any").dropDuplicates()
+def clean_bars(df, drop_zero_volume=True, date_formats=(), seen=lambda df, step: df):
+    """Drop rows with missing or infinite values, copies, zero volume and unreadable dates.
+
+    `seen` gets the rows after each step and returns them.
+    """
+    clean = seen(infinite_to_null(seen(df, "in")).dropna("any"), "present").dropDuplicates()
+    clean = seen(clean, "distinct")
     if drop_zero_volume and "Volume" in df.columns:
         clean = clean.where(F.col("Volume") > 0)
+    clean = seen(clean, "traded")
     if "Date" in df.columns:
         clean = clean.withColumn("Date", parse_date("Date", date_formats)).where(
             F.col("Date").isNotNull()
         )
-    return clean
+    return seen(clean, "out")
+
+
+def counted_clean_bars(df, drop_zero_volume=True, date_formats=()):
+    """(clean bars, function): the function gives `cleaning_report`'s counts once the bars were written.
+
+    The rows are counted as they pass by, so that one write of the bars is the only pass. Write them as
+    a plain stage: a sort or a range partitioning would draw its sample from the same rows.
+    """
+    counts = {}
+
+    def seen(rows, step):
+        counts[step] = Observation(f"rows {step}")
+        return rows.observe(counts[step], F.count(F.lit(1)).alias("n"))
+
+    bars = clean_bars(df, drop_zero_volume, date_formats, seen)
+
+    def report():
+        n = {step: int(found.get["n"]) for step, found in counts.items()}
+        return {
+            "rows_in": n["in"],
+            "missing_removed": n["in"] - n["present"],
+            "duplicates_removed": n["present"] - n["distinct"],
+            "zero_volume_removed": n["distinct"] - n["traded"],
+            "bad_dates_removed": n["traded"] - n["out"],
+            "rows_out": n["out"],
+        }
+
+    return bars, report
 
 
 def cleaning_report(df, drop_zero_volume=True, date_formats=()):

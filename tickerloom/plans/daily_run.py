@@ -1,9 +1,12 @@
 """The end-to-end runs. Every stage reads the table the stage before it wrote."""
 
 import posixpath
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 
 from ..operators import portfolio, quality, signals
-from ..operators.cleaning import clean_bars, typed_bars
+from ..operators.cleaning import counted_clean_bars, typed_bars
 from ..operators.universe import (
     EMPTY_THRESHOLD,
     empty_files,
@@ -13,20 +16,43 @@ from ..operators.universe import (
     symbol_set,
     universe_bars,
 )
-from ..sources.stages import scratch
+from ..sources.stages import scratch, staged
 from ..sources.tables import read_table, write_bars, write_by_date, write_csv
-from ..sources.ticker_files import FOLDERS, file_manifest, merge_folders, read_symbols
+from ..sources.ticker_files import FOLDERS, file_manifest, merge_with_rejects, read_symbols
+from .boosting import save_model, train_predict
 from .feature_table import feature_table
-from .training import save_model, train_predict
+
+
+@dataclass
+class Ingested:
+    """`counts` are the rows in, out and removed by each step; `rejects` what couldn't be read."""
+
+    bars: DataFrame
+    counts: dict
+    rejects: DataFrame
+
+
+def ingest_counted(spark, base, out, kind="both", symbols_path=None, by_year=False, rejects_out=None):
+    """Ticker files -> merged, cleaned, typed bars in one table, with counts of the same pass.
+
+    `rejects` is a table at `rejects_out` if that is given, else read from the files when used.
+    """
+    merged, rejects = merge_with_rejects(spark, base, kind)
+    with scratch(spark):
+        clean, counts = counted_clean_bars(merged)
+        bars = typed_bars(staged(clean, "clean"))
+        if symbols_path:
+            bars = universe_bars(bars, symbol_set(read_symbols(spark, symbols_path)))
+        write_bars(bars, out, by_year)
+        if rejects_out:
+            write_csv(rejects, rejects_out)
+            rejects = spark.read.csv(rejects_out, header=True, schema=rejects.schema, multiLine=True, escape='"')
+    return Ingested(read_table(spark, out), counts(), rejects)
 
 
 def ingest(spark, base, out, kind="both", symbols_path=None, by_year=False):
     """Ticker files -> merged, cleaned, typed bars in one table."""
-    bars = typed_bars(clean_bars(merge_folders(spark, base, kind)))
-    if symbols_path:
-        bars = universe_bars(bars, symbol_set(read_symbols(spark, symbols_path)))
-    write_bars(bars, out, by_year)
-    return read_table(spark, out)
+    return ingest_counted(spark, base, out, kind, symbols_path, by_year).bars
 
 
 def select_universe(spark, base, symbols_path, out, empty_threshold=EMPTY_THRESHOLD):
@@ -62,7 +88,7 @@ def research(spark, bars_path, out, date_frac=1.0, long_pct=0.02, short_pct=0.02
     write_bars(feature_table(read_table(spark, bars_path), date_frac), paths["features"])
     with scratch(spark):
         trained = train_predict(read_table(spark, paths["features"]), long_pct=long_pct, **training)
-        save_model(trained.model, paths["model"])
+        save_model(trained.nodes, paths["model"])
         write_by_date(trained.predictions, paths["predictions"])
     predictions = read_table(spark, paths["predictions"])
     with scratch(spark):

@@ -24,6 +24,24 @@ def write_bars(bars, path, by_year=False):
     (writer.partitionBy("year") if by_year else writer).parquet(path)
 
 
+def write_bucketed(bars, name, buckets, path=None):
+    """A Parquet table of the catalog with the rows of a symbol in one bucket, sorted by date.
+
+    Windows and aggregates by symbol read it without an exchange, as do joins with a table of as many
+    buckets. A symbol has few rows, so buckets are as even as a hash of many symbols makes them.
+    """
+    writer = (
+        bars.repartition(buckets, "symbol")
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("compression", "snappy")
+        .bucketBy(buckets, "symbol")
+        .sortBy("symbol", "date")
+    )
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return bars.sparkSession.table(name)
+
+
 def write_by_date(df, path):
     """Snappy Parquet, ordered by date and symbol across files."""
     (
