@@ -17,7 +17,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 CACHED_CHUNKS = 250_000
 END_ID = 1
 # Characters that are encoded together.
-PART_CHARS = 1 << 21
+PART_CHARS = 1 << 22
 # Longer pre-tokens go to the library one by one.
 LONGEST_PIECE = 32
 
@@ -43,8 +43,15 @@ class Merges:
         merged = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.merged = keys[order], order, merged[order]
-        self.inner = {c: i for c, i in vocabulary.items() if len(c) == 1}
-        self.last = {c: vocabulary[c + suffix] for c in self.inner if c + suffix in vocabulary}
+        # The symbol of each character inside a word and at its end.
+        single = {ord(c): i for c, i in vocabulary.items() if len(c) == 1}
+        self.inner, self.last = np.zeros((2, max(single) + 1), np.int64)
+        for c, i in single.items():
+            self.inner[c], self.last[c] = i, vocabulary.get(chr(c) + suffix, i)
+        # Pairs of such symbols, which all words begin with, are looked up by their place.
+        self.first = int(max(self.inner.max(), self.last.max())) + 1
+        pair = np.arange(self.first)
+        self.rank_of, self.place_of = self._find(pair[:, None], pair[None, :])
 
     def _find(self, left, right):
         """Rank of each pair and the place of its merge."""
@@ -54,9 +61,10 @@ class Merges:
 
     def encode(self, words):
         """Ids of each word, all of one length, as little-endian unsigned 32-bit bytes."""
-        ids = np.array([[*map(self.inner.__getitem__, w[:-1]), self.last[w[-1]]] for w in words], np.int64)
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1)
+        ids = np.concatenate([self.inner[letters[:, :-1]], self.last[letters[:, -1:]]], axis=1)
         out, row = [None] * len(words), np.arange(len(words))
-        ranks, found = self._find(ids[:, :-1], ids[:, 1:])
+        ranks, found = (table[ids[:, :-1], ids[:, 1:]] for table in (self.rank_of, self.place_of))
         while len(row):
             best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(row), np.int64)
             here = np.arange(len(row))
@@ -130,9 +138,12 @@ class Encoder:
                 known[piece] = self._whole(piece)
             else:
                 shown = piece if piece.isascii() else piece.translate(self.as_bytes)
-                new.setdefault(len(shown), []).append((piece, shown))
-        for length, found in new.items():
-            names, shown = zip(*found)
+                if len(shown) not in new:
+                    new[len(shown)] = [], []
+                names, words = new[len(shown)]
+                names.append(piece)
+                words.append(shown)
+        for length, (names, shown) in new.items():
             many = self.merges.encode(shown) if length <= LONGEST_PIECE else map(self._one_piece, shown)
             known.update(zip(names, many))
         self.young.update(known)
