@@ -272,3 +272,21 @@ def test_quantiles_of(spark):
     assert found["a"] == pytest.approx(np.quantile(values, shares).tolist(), abs=1e-12)
     assert found["b"] == [None] * 6
     assert selection.values_at(df, {"a": []})["a"].tolist() == []
+
+
+def test_target_analysis_beyond_one_aggregate(spark):
+    from tickerloom.operators import quality
+
+    rng = np.random.default_rng(4)
+    rows = [(float(v), None if k % 3 else float(k), None) for k, v in enumerate(rng.normal(size=800))]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
+    small = quality.target_analysis(df, ["a", "b", "c"])
+    large = quality.target_analysis(df, ["a", "b", "c"], rows_per_task=50)
+    assert "Sort" not in large._jdf.queryExecution().executedPlan().toString()
+    expected = df.toPandas().describe()
+    for one, other in zip(small.collect(), large.collect()):
+        for name in ("n", "mean", "std", "min", "q25", "q50", "q75", "max", "extreme"):
+            assert one[name] == pytest.approx(other[name], rel=1e-12)
+        if one.n:
+            found = [one[x] for x in ("n", "mean", "std", "min", "q25", "q50", "q75", "max")]
+            assert found == pytest.approx(expected[one.target].tolist(), rel=1e-12)

@@ -7,8 +7,9 @@ from ..functions.numeric import complete_pearson, count_where, sharpe
 from ..schema import MIN_HISTORY_ROWS, SEED, TARGETS, feature_columns, floating_columns
 from .crosssection import add_deciles
 from .lineage import join_by_date
-from .ordered import quantiles, with_average_rank
+from .ordered import PERCENTILE_ROWS, with_average_rank
 from .portfolio import long_short
+from .selection import present_counts, quantiles_of
 
 LOW_VARIANCE = 1e-6
 LEAK = 0.95
@@ -64,39 +65,41 @@ def nan_inf_check(df, top=10):
     )
 
 
-def target_analysis(df, targets=TARGETS, ties=("symbol", "date"), **skew):
-    """Count, mean, deviation, minimum, quartiles, maximum and share of |t| > 1 per target."""
-    long = df.select(
-        *ties,
-        F.explode(
-            F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).alias("value")) for t in targets])
-        ).alias("_t"),
-    ).select(*ties, "_t.target", "_t.value")
-    moments = long.groupBy("target").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg(F.coalesce(F.abs("value") > 1, F.lit(False)).cast("double")).alias("extreme"),
-    )
-
-    def join_few(rows, counts):
-        return rows.join(F.broadcast(counts), "target")
+def target_analysis(df, targets=TARGETS, rows_per_task=PERCENTILE_ROWS):
+    """Count, mean, deviation, minimum, quartiles, maximum and share of |t| > 1 per target.
 
-    quartiles = quantiles(
-        long, ["target"], "value", (0.25, 0.5, 0.75), list(ties), join_few, **skew
-    )
-    return moments.join(F.broadcast(quartiles), "target", "left").select(
-        "target",
-        "n",
-        "mean",
-        "std",
-        "min",
-        *[F.col("_quantiles")[i].alias(f"q{p}") for i, p in enumerate((25, 50, 75))],
-        "max",
-        "extreme",
-    )
+    One aggregate without an exchange of rows. Beyond `rows_per_task` values the quartiles are found
+    by counting (`selection`), which neither sorts them nor holds them in one place.
+    """
+    shares = (0.25, 0.5, 0.75)
+    counts = present_counts(df, targets)
+    few = max(counts.values()) <= rows_per_task
+    found = {} if few else quantiles_of(df, targets, shares)
+    sums, entries = [], []
+    for t in targets:
+        extreme = F.coalesce(F.abs(F.col(t)) > 1, F.lit(False)).cast("double")
+        values = {
+            "n": F.count(t), "mean": F.avg(t), "std": F.stddev_samp(t), "min": F.min(t), "max": F.max(t),
+            "extreme": F.avg(extreme),
+        }
+        if few:
+            values["quartiles"] = F.percentile(t, F.array(*map(F.lit, shares)))
+        sums += [v.alias(f"{t} {name}") for name, v in values.items()]
+
+        def cell(name, t=t):
+            return F.col(f"`{t} {name}`").alias(name)
+
+        def quartile(k, t=t):
+            known = F.get(F.col(f"`{t} quartiles`"), F.lit(k)) if few else F.lit(found[t][k])
+            return known.cast("double").alias(f"q{round(100 * shares[k])}")
+
+        entries.append(
+            F.struct(
+                F.lit(t).alias("target"), *map(cell, ("n", "mean", "std", "min")),
+                *map(quartile, range(3)), *map(cell, ("max", "extreme")),
+            )
+        )
+    return rows_of(df.agg(*sums), entries).where("n > 0 OR extreme IS NOT NULL")
 
 
 def feature_quality(df, columns=None):
@@ -118,6 +121,7 @@ def leakage_check(df, columns=None, targets=TARGETS, top=5):
     the strongest feature of the target.
     """
     columns = feature_columns(df) if columns is None else columns
+    # One aggregate of all pairs, without the unpivoted rows, takes ten times as long: its code is too large.
     long = df.select(*targets, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         list(targets), columns, "feature", "x"
     )
