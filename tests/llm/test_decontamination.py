@@ -100,3 +100,35 @@ def test_spans(spark, benchmark):
     row = op.search(doc, benchmark).first()
     assert row["covered"] == [[1, 4]] and row["items"] == ["12"]
     assert op.search(doc.withColumn("doc_id", F.lit("a")), benchmark).first()["doc_id"] == "a"
+
+
+def test_copies_of_an_item_and_a_long_one_are_parted(spark, monkeypatch, listed):
+    rng = random.Random(21)
+    words = [f"w{k}" for k in range(60)]
+    long_item = " ".join(rng.choice(words) for _ in range(3000))
+    benchmark = [(k % 3, "one short question about stone and water near the old bridge") for k in range(5000)]
+    benchmark += [(10, long_item), (None, long_item[:200])]
+    docs = [(k, " ".join(rng.choice(words) for _ in range(40)) + " " + long_item[k * 50 : k * 50 + 200]) for k in range(40)]
+    docs.append((99, "and ONE short question, about stone and water near the old bridge"))
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(benchmark, "item_id long, text string")
+    want = listed(op.report(documents, items))
+    monkeypatch.setattr(op, "WORDS_PER_PASS", 400)
+    sizes = []
+    monkeypatch.setattr(op, "_Pass", type("_Pass", (op._Pass,), {"__init__": lambda self, s, rows: (sizes.append(len(rows)), op_init(self, s, rows))[1]}))
+    assert listed(op.report(documents, items)) == want
+    assert len(sizes) > 5 and max(sizes) < 700
+    found = {r.doc_id: r for r in op.search(documents, items).collect()}
+    assert found[99]["items"] == ["0", "1", "2"]
+    assert sum(bool(r["items"]) for r in found.values()) > 20
+
+
+op_init = op._Pass.__init__
+
+
+def test_text_of_many_megabytes(spark):
+    text = "stone river " * 500_000 + "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "One, two three four five six seven eight nine ten")], "item_id long, text string")
+    row = op.report(docs, items).first()
+    assert (row.n_words, row.n_hit, row.n_items) == (1_000_010, 10, 1)

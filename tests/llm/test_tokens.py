@@ -164,3 +164,41 @@ def test_a_retried_task_leaves_only_files_that_nothing_names(odd, spark):
     open(f"{folder}/shard-000000-lost.tok", "wb").write(b"half a shard")
     assert len(glob.glob(f"{folder}/*.tok")) == len(manifest) + 1
     assert token_store.read(spark.createDataFrame(manifest)).count() == odd.count()
+
+
+def test_frequent_ids_span_shards(spark, library, listed):
+    """A third of the rows without an id and a third with the same one: no shard is above twice the mean."""
+    rng = random.Random(9)
+    words = "stone river light bridge seven quiet".split()
+    rows = [
+        (None if k % 3 == 0 else 7 if k % 3 == 1 else 1000 + k, " ".join(rng.choice(words) for _ in range(12)))
+        for k in range(3000)
+    ]
+    rows += [(7, "the same text every time")] * 600
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    manifest = token_store.write(df, PATH, 8)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 2 * len(rows) / len(sizes)
+    found = token_store.read(manifest).orderBy("start").collect()
+    keys = [r.doc_id for r in found]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or 0))
+    starts = np.cumsum([0, *(r.n_tokens for r in found)])
+    assert [r.start for r in found] == starts[:-1].tolist()
+    want = sorted((k is not None, k or 0, len(library(t)) + 1, crc(library(t) + [1])) for k, t in rows)
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens, r.ids_crc32) for r in found) == want
+
+
+def test_long_texts_are_encoded_in_parts(library, monkeypatch):
+    monkeypatch.setattr("tickerloom.llm.tokens.PART_CHARS", 40)
+    coder = Encoder(PATH)
+    texts = [" ".join(STRANGE[:9] * 3), "a" * 200 + " b", "word " * 100, "", None, " 　x" * 50, "İstanbul's " * 20]
+    for text, ids in zip(texts, coder.encode_all(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library(text)
+
+
+def test_merges_of_random_words(library):
+    rng = random.Random(12)
+    coder = Encoder(PATH)
+    words = ["".join(rng.choice("etaoinshrdluéà#&*") for _ in range(rng.randrange(1, 45))) for _ in range(4000)]
+    for word, ids in zip(words, coder.encode_all(words)):
+        assert np.frombuffer(ids, "<u4").tolist() == library(word)

@@ -8,7 +8,8 @@ hash and that of the pattern's first block, the patterns to compare directly.
 Defined results: a null or empty text has no words and is clean; a null id stays null;
 repeated rows are judged one by one; an item without words has no window; items that
 share an id are one item, and an item without an id is named by the empty string. Only the
-named columns are read, so other columns cannot clash.
+named columns are read, so other columns cannot clash. Texts are searched whole, one at a time, so a
+very long one costs its words and their spans.
 """
 
 import uuid
@@ -21,8 +22,10 @@ from .text import UPPER_TO_LOWER, utf8
 
 WINDOW = 10
 BLOCK = 2
-# Benchmark words searched for in one pass; a larger benchmark takes several passes.
+# Benchmark windows (one begins at nearly every word) searched for in one pass, and their characters;
+# a larger benchmark takes several passes.
 WORDS_PER_PASS = 200_000
+CHARS_PER_PASS = 100_000_000
 
 _WORD_BYTES = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 _SPACED = bytes(
@@ -132,14 +135,31 @@ class _Pass:
         return _Pass.built[self.key]
 
 
+def _list_windows(batches):
+    """(item, window) of each item, once for each batch; a window's words are joined by spaces."""
+    for batch in batches:
+        found = set()
+        for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist()):
+            found |= {(item, b" ".join(w).decode("utf-8", "surrogatepass")) for w in windows_of(words_of(text))}
+        columns = list(zip(*found)) or [[], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string())], names=["item", "window"]
+        )
+
+
 def _passes(benchmark, item_col, text_col):
-    """(number, last) and rows of each part of about WORDS_PER_PASS benchmark words."""
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).alias("text"))
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, -(-chars // (WORDS_PER_PASS * 6)))
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
+    """(number, last) and distinct windows of each part of about WORDS_PER_PASS windows.
+
+    Windows are dealt to passes by their hash, so neither copies of an item nor a very long one fill
+    a pass. A window is an item text of its own to the matcher.
+    """
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text"))
+    windows = staged(items.mapInArrow(_list_windows, "item string, window string").distinct(), "windows")
+    size = windows.agg(F.count(F.lit(1)), F.sum(F.length("window") + F.coalesce(F.length("item"), F.lit(0)))).first()
+    parts = max(1, -(-size[0] // WORDS_PER_PASS), -(-(size[1] or 0) // CHARS_PER_PASS))
+    part = F.pmod(F.xxhash64("item", "window"), F.lit(parts))
     for k in range(parts):
-        rows = [(r.item, r.text) for r in items.where(part == k).collect()]
+        rows = [(r.item, r.window) for r in windows.where(part == k).collect()]
         yield k, k == parts - 1, _Pass(benchmark.sparkSession, rows)
 
 

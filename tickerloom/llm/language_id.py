@@ -1,7 +1,9 @@
 """Language identification by Bayesian fusion of four kinds of evidence.
 
-* Text: naive Bayes over hashed letter trigrams, fitted on a bounded sample of labelled rows. Every
-  declared language that has letters is learnt, however few its rows are.
+* Text: naive Bayes over hashed letter trigrams, fitted on a bounded sample of labelled rows. Declared
+  codes count by their first part in lower case ("en-GB" and "EN" are "en"); labels that are no code of
+  two or three letters are no evidence. Every such language with letters is learnt, however few its
+  rows are, the MOST_LANGUAGES with the most different texts if there are more.
 * Declared markup language: right with probability DECLARED_TRUST.
 * Address suffix: a country suffix speaks for its languages with probability SUFFIX_TRUST.
 * Host prior: language counts of the whole table, from the text alone, per suffix, domain and
@@ -11,8 +13,10 @@
 rejected if it has no letters, if `und` wins, or if the best language stays below MIN_POSTERIOR.
 
 Defined results: a null or empty text has language `und`, posterior 0, and is rejected; a null
-declared language, address or host is no evidence (a null host shares one prior); null ids and
-repeated rows pass through. Scores use named columns only; `accepted` keeps all columns.
+declared language, address or host is no evidence (a null host shares one prior); of equally likely
+languages the first in alphabetical order wins, known ones before `und`; a table without any declared
+language knows none, so all its rows are `und` and rejected; null ids and repeated rows pass through.
+A very long text is scored in parts. Scores use named columns only; `accepted` keeps all columns.
 """
 
 import re
@@ -28,6 +32,9 @@ from ..sources.stages import staged
 BUCKETS = 1 << 16
 # Different texts of one language that the classifier is fitted on, in expectation.
 SAMPLE_ROWS = 2000
+MOST_LANGUAGES = 200
+# Bytes of host priors that may be broadcast.
+PRIOR_BYTES = 64 << 20
 TEXT_WEIGHT = 0.5
 DECLARED_TRUST = 0.9
 SUFFIX_TRUST = 0.7
@@ -119,6 +126,12 @@ def fuse(model, scores, sizes, declared, suffixes, priors):
     return names, value, (names != UND) & (value >= MIN_POSTERIOR)
 
 
+def _code(label):
+    """Language of a declared code, null if it is none."""
+    code = F.lower(F.regexp_extract(label.cast("string"), r"^\s*([A-Za-z]{2,3})(?:[-_].*)?\s*$", 1))
+    return F.when(code != "", code)
+
+
 def _count_trigrams(batches):
     for batch in batches:
         found = {}
@@ -137,10 +150,11 @@ def _count_trigrams(batches):
 
 def fit(documents, label_col="lang", text_col="text", sample_rows=SAMPLE_ROWS):
     """Model from about `sample_rows` different texts of each declared language, chosen by hash."""
-    rows = documents.select(F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = documents.select(_code(F.col(label_col)).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("lang is not null and text is not null")
     different = rows.select("lang", F.xxhash64("text").alias("mark")).distinct()
-    sizes = {r["lang"]: r["count"] for r in different.groupBy("lang").count().collect()}
+    largest = different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in largest.collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS)))
@@ -166,16 +180,24 @@ def _places(host):
     return suffix.alias("suffix"), domain.alias("domain"), host.alias("host")
 
 
-def _label(shared):
+def _score(shared, extra):
+    """Text scores, the best language by them, and whatever else the rows have."""
+
     def run(batches):
         model = shared.value
         names = np.array(model.languages, object)
         for batch in batches:
             scores, sizes = model.text_scores(batch.column("text").to_pylist())
             best = np.where(sizes > 0, names[scores.argmax(axis=1)], None)
+            offsets = pa.array(np.arange(len(batch) + 1, dtype=np.int32) * scores.shape[1])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("suffix", "domain", "host")), pa.array(best, pa.string())],
-                names=["suffix", "domain", "host", "label"],
+                [
+                    *(batch.column(c) for c in extra),
+                    pa.array(best, pa.string()),
+                    pa.ListArray.from_arrays(offsets, pa.array(scores.reshape(-1))),
+                    pa.array(sizes),
+                ],
+                names=[*extra, "label", "scores", "size"],
             )
 
     return run
@@ -183,9 +205,17 @@ def _label(shared):
 
 def host_priors(documents, shared, host, text_col="text"):
     """(host, prior): smoothed language shares of each host, in the model's order."""
-    languages = shared.value.languages
     rows = documents.select(*_places(host), F.col(text_col).alias("text"))
-    labels = rows.mapInArrow(_label(shared), "suffix string, domain string, host string, label string")
+    extra = ["suffix", "domain", "host"]
+    labels = rows.mapInArrow(
+        _score(shared, extra),
+        "suffix string, domain string, host string, label string, scores array<double>, size long",
+    )
+    return _priors(labels, shared.value.languages)
+
+
+def _priors(labels, languages):
+    """The priors by the labels of (suffix, domain, host, label) rows."""
     counts = [F.count(F.when(F.col("label") == x, 1)).alias(f"n{k}") for k, x in enumerate(languages)]
     hosts = staged(labels.groupBy("suffix", "domain", "host").agg(*counts), "hosts")
     names = [f"n{k}" for k in range(len(languages))]
@@ -209,20 +239,21 @@ def host_priors(documents, shared, host, text_col="text"):
     return staged(by_host.select("host", F.array(*shares, F.lit(UND_PRIOR)).alias("prior")), "priors")
 
 
-def _prepared(documents, extra, label_col, host, text_col, sample_rows, model):
+def _known_hosts(priors, languages):
+    """The priors, broadcast if their bytes allow it."""
+    return checked_broadcast(priors, PRIOR_BYTES // (8 * len(languages) + 64))
+
+
+def _fitted(documents, label_col, text_col, sample_rows, model):
     model = model or fit(documents, label_col or "lang", text_col, sample_rows)
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    priors = checked_broadcast(host_priors(documents, shared, host, text_col))
-    suffix, _, name = _places(host)
-    declared = F.col(label_col) if label_col else F.lit(None).cast("string")
-    rows = documents.select(
-        *extra, F.col(text_col).alias("text"), declared.alias("declared"), suffix, name
-    )
-    return shared, rows.join(priors, "host")
+    return documents.sparkSession.sparkContext.broadcast(model)
+
+
+def _declared(label_col):
+    return (_code(F.col(label_col)) if label_col else F.lit(None).cast("string")).alias("declared")
 
 
-def _fused(model, batch):
-    scores, sizes = model.text_scores(batch.column("text").to_pylist())
+def _fused(model, batch, scores, sizes):
     priors = np.array(batch.column("prior").to_pylist(), float).reshape(len(batch), -1)
     declared, suffixes = batch.column("declared").to_pylist(), batch.column("suffix").to_pylist()
     return fuse(model, scores, sizes, declared, suffixes, priors)
@@ -232,33 +263,54 @@ def identify(
     documents, id_col="doc_id", text_col="text", label_col="lang", host=None,
     sample_rows=SAMPLE_ROWS, model=None,
 ):
-    """(doc_id, language, posterior, accepted) for every row; `host` is a column or None."""
+    """(doc_id, language, posterior, accepted) for every row; `host` is a column or None.
+
+    Texts are scored once; their scores, written as a stage, serve the priors and the fusion.
+    """
     host = F.lit(None).cast("string") if host is None else host
-    shared, rows = _prepared(
-        documents, [F.col(id_col).alias("doc_id")], label_col, host, text_col, sample_rows, model
+    shared = _fitted(documents, label_col, text_col, sample_rows, model)
+    languages = shared.value.languages
+    rows = documents.select(
+        F.col(id_col).alias("doc_id"), _declared(label_col), *_places(host), F.col(text_col).alias("text")
+    )
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    extra = ["doc_id", "declared", "suffix", "domain", "host"]
+    scored = staged(
+        rows.mapInArrow(
+            _score(shared, extra),
+            f"doc_id {kind}, declared string, suffix string, domain string, host string, "
+            "label string, scores array<double>, size long",
+        ),
+        "scores",
     )
+    joined = scored.drop("label", "domain").join(_known_hosts(_priors(scored, languages), languages), "host")
 
     def run(batches):
         for batch in batches:
-            names, value, good = _fused(shared.value, batch)
+            scores = np.array(batch.column("scores").to_pylist(), float).reshape(len(batch), -1)
+            names, value, good = _fused(shared.value, batch, scores, batch.column("size").to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(value), pa.array(good)],
                 names=["doc_id", "language", "posterior", "accepted"],
             )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, language string, posterior double, accepted boolean")
+    return joined.mapInArrow(run, f"doc_id {kind}, language string, posterior double, accepted boolean")
 
 
 def accepted(documents, text_col="text", label_col="lang", host=None, sample_rows=SAMPLE_ROWS, model=None):
     """The rows whose language is recognised, with all their columns."""
     host = F.lit(None).cast("string") if host is None else host
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    shared, rows = _prepared(documents, [whole], label_col, host, text_col, sample_rows, model)
+    shared = _fitted(documents, label_col, text_col, sample_rows, model)
+    priors = _known_hosts(host_priors(documents, shared, host, text_col), shared.value.languages)
+    suffix, _, name = _places(host)
+    rows = documents.select(whole, F.col(text_col).alias("text"), _declared(label_col), suffix, name)
+    rows = rows.join(priors, "host")
 
     def run(batches):
         for batch in batches:
-            good = _fused(shared.value, batch)[2]
+            scores, sizes = shared.value.text_scores(batch.column("text").to_pylist())
+            good = _fused(shared.value, batch, scores, sizes)[2]
             yield batch.select(["row"]).filter(pa.array(good))
 
     kept = rows.mapInArrow(run, T.StructType([rows.schema["row"]]))

@@ -12,8 +12,9 @@ file of its own, and only the files named in the manifest, which is written by s
 count; so a lost executor leaves at most files that nothing names.
 
 Defined results: a null or empty text has only the end id; documents without an id come first,
-are not in the index and are read by position; rows that share an id are consecutive records of
-one slot, ordered by text; ids must be integers.
+are not in the index and are read by position; rows that share an id are consecutive records, one slot
+of each shard they span, ordered by the first HEAD_CHARS characters of their texts; ids must be
+integers. A very long text is encoded part by part.
 """
 
 import struct
@@ -36,6 +37,7 @@ FOOTER = struct.Struct("<QQQQQQQ8s")
 # Bits per key and level; more levels than needed would cost only empty arrays.
 GAMMA = 2
 READ_RECORDS = 4096
+HEAD_CHARS = 32
 
 
 def mixed(keys, seed):
@@ -238,7 +240,10 @@ def write(documents, tokenizer, shards=None, id_col="doc_id", text_col="text"):
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = new_folder(spark, "tokens")
     docs = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    in_order = docs.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that share an id are cut into ranges too: by the start of their text, then at random.
+    cut = docs.withColumns({"head": F.left("text", F.lit(HEAD_CHARS)), "salt": F.rand(0)})
+    ranges = cut.repartitionByRange(shards, "doc_id", "head", "salt")
+    in_order = ranges.select("doc_id", "text").sortWithinPartitions("doc_id", "text")
     manifest = staged(in_order.mapInArrow(_write(folder, tokenizer), MANIFEST), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
