@@ -9,7 +9,8 @@ runs of sequences; every piece finds its place from its rank among pieces of its
 are counted per length and salt, so a length that a third of all pieces share is split.
 
 Defined results: a null or empty text is a piece of the end id alone; null ids stay null;
-repeated rows are packed once each. Only the named columns are read.
+repeated rows are packed once each; an empty table gives an empty result. A very long text is encoded
+part by part and cut into pieces. Only the named columns are read.
 """
 
 import zlib
@@ -24,7 +25,9 @@ from ..sources.stages import staged
 from .tokens import END_ID, encoder
 
 CAPACITY = 4096
+# Parts in which the pieces of one length are ranked: at least so many, and of about so many pieces.
 SALTS = 256
+RANKED_ROWS = 1_000_000
 
 
 def _cut(path, capacity):
@@ -193,8 +196,9 @@ def seats(cut, capacity=CAPACITY):
     spark = cut.sparkSession
     sizes = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     places = spark.sparkContext.broadcast(plan(sizes, capacity))
+    salts = max(SALTS, -(-max(sizes.values(), default=0) // RANKED_ROWS))
     at = F.struct("_metadata.file_path", "_metadata.row_index")
-    salted = cut.select("*", at.alias("at")).withColumn("salt", F.pmod(F.xxhash64("at"), F.lit(SALTS)))
+    salted = cut.select("*", at.alias("at")).withColumn("salt", F.pmod(F.xxhash64("at"), F.lit(salts)))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     earlier = (
         salted.groupBy("length", "salt")

@@ -1,20 +1,21 @@
 """Token ids of whole texts with a public tokenizer file.
 
 The tokenizer drops white space and never looks across it. Texts are taken a few megabytes at a time
-and cut into pre-tokens here; the distinct ones of such a part are looked up in a cache of bounded
-size, and the merges of all new ones of one length are applied side by side. That holds for chunks of
+and cut into pre-tokens here. A store of bounded size numbers them and holds their ids, which are gathered
+for the whole part at once; the merges of all new ones of one length are applied side by side. That holds for chunks of
 Latin letters, digits and ASCII marks; any other chunk goes through the whole library pipeline.
 """
 
 import json
 import re
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
-# Pre-tokens in each half of the cache; a full young half becomes the old one.
-CACHED_CHUNKS = 250_000
+# Pre-tokens that are kept; beyond that all are forgotten before the next part.
+CACHED_CHUNKS = 500_000
 END_ID = 1
 # Characters that are encoded together.
 PART_CHARS = 1 << 22
@@ -31,6 +32,19 @@ _SPACE = re.compile(r"\s")
 _NO_RANK = np.int64(1 << 40)
 
 
+class _Places(dict):
+    """Numbers for pieces; `new` lists those that were met for the first time."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, piece):
+        self[piece] = place = len(self)
+        self.new.append(piece)
+        return place
+
+
 class Merges:
     """Byte-pair merges of many words of one length at once."""
 
@@ -60,22 +74,19 @@ class Merges:
         return np.where(self.keys[at] == keys, self.ranks[at], _NO_RANK), at
 
     def encode(self, words):
-        """Ids of each word, all of one length, as little-endian unsigned 32-bit bytes."""
+        """Ids of words of one length, joined; how many each word has, and the order of the words."""
         letters = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), -1)
         ids = np.concatenate([self.inner[letters[:, :-1]], self.last[letters[:, -1:]]], axis=1)
-        out, row = [None] * len(words), np.arange(len(words))
+        out, row = [], np.arange(len(words))
         ranks, found = (table[ids[:, :-1], ids[:, 1:]] for table in (self.rank_of, self.place_of))
         while len(row):
             best = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(row), np.int64)
             here = np.arange(len(row))
             more = ranks[here, best] < _NO_RANK if ranks.shape[1] else np.zeros(len(row), bool)
-            done = np.flatnonzero(~more)
-            raw, step = np.ascontiguousarray(ids[done], "<u4").tobytes(), 4 * ids.shape[1]
-            for k, r in enumerate(row[done].tolist()):
-                out[r] = raw[k * step : (k + 1) * step]
+            out.append((row[~more], ids[~more]))
             row, ids, ranks, found, best = (x[more] for x in (row, ids, ranks, found, best))
             if not len(row):
-                return out
+                break
             here = np.arange(len(row))
             merged = self.merged[found[here, best]]
             # One symbol and one pair fewer; only the pairs beside the merged symbol are new.
@@ -90,7 +101,8 @@ class Merges:
                 rows = np.flatnonzero((at >= 0) & (at < ids.shape[1] - 1))
                 at = at[rows]
                 ranks[rows, at], found[rows, at] = self._find(ids[rows, at], ids[rows, at + 1])
-        return out
+        sizes = np.concatenate([np.full(len(r), i.shape[1]) for r, i in out])
+        return np.concatenate([i.reshape(-1) for _, i in out]), sizes, np.concatenate([r for r, _ in out])
 
 
 class Encoder:
@@ -104,14 +116,18 @@ class Encoder:
         letters = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
         self.as_bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
         self.merges = Merges(self.tokenizer)
-        self.young, self.old = {}, {}
+        self._forget()
+
+    def _forget(self):
+        """An empty store: the ids of piece k are `flat[starts[k]:starts[k] + sizes[k]]`."""
+        self.places = _Places()
+        self.flat, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _whole(self, text):
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _one_piece(self, piece):
-        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+        return np.array([t.id for t in self.model.tokenize(piece)], np.uint32)
 
     def _pieces(self, text):
         """Pre-tokens of a text; chunks that can't be cut here stay whole, marked by a line end."""
@@ -127,29 +143,38 @@ class Encoder:
                 plain.append(chunk)
         return out + _PIECES.findall(" ".join(plain).lower())
 
-    def _ids(self, pieces):
-        """Ids of each of the distinct pieces."""
-        known, new = {}, {}
-        for piece in pieces:
-            ids = self.young.get(piece) or self.old.get(piece)
-            if ids is not None:
-                known[piece] = ids
-            elif piece[0] == "\n":
-                known[piece] = self._whole(piece)
-            else:
-                shown = piece if piece.isascii() else piece.translate(self.as_bytes)
-                if len(shown) not in new:
-                    new[len(shown)] = [], []
-                names, words = new[len(shown)]
-                names.append(piece)
-                words.append(shown)
-        for length, (names, shown) in new.items():
-            many = self.merges.encode(shown) if length <= LONGEST_PIECE else map(self._one_piece, shown)
-            known.update(zip(names, many))
-        self.young.update(known)
-        if len(self.young) >= CACHED_CHUNKS:
-            self.young, self.old = {}, self.young
-        return known
+    def _learn(self):
+        """Store the ids of the new pieces."""
+        new, self.places.new = self.places.new, []
+        found, by_length = [], {}
+        for k, piece in enumerate(new):
+            if piece[0] == "\n":
+                found.append((self._whole(piece), [k]))
+                continue
+            shown = piece if piece.isascii() else piece.translate(self.as_bytes)
+            if len(shown) > LONGEST_PIECE:
+                found.append((self._one_piece(shown), [k]))
+                continue
+            if len(shown) not in by_length:
+                by_length[len(shown)] = [], []
+            places, words = by_length[len(shown)]
+            places.append(k)
+            words.append(shown)
+        sizes = np.zeros(len(new), np.int64)
+        starts = np.zeros(len(new), np.int64)
+        flat, end = [self.flat], len(self.flat)
+        for ids, places in found:
+            flat.append(ids)
+            sizes[places], starts[places] = len(ids), end
+            end += len(ids)
+        for places, words in by_length.values():
+            ids, counts, order = self.merges.encode(words)
+            flat.append(ids.astype(np.uint32))
+            places = np.array(places)[order]
+            sizes[places], starts[places] = counts, end + np.cumsum(counts) - counts
+            end += len(ids)
+        self.flat = np.concatenate(flat)
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
 
     def encode_all(self, texts):
         """The ids of each text, in order."""
@@ -169,9 +194,25 @@ class Encoder:
         yield from self._joined(waiting)
 
     def _joined(self, waiting):
-        known = self._ids(set().union(*(w for w in waiting if isinstance(w, list))))
+        lists = [w for w in waiting if isinstance(w, list)]
+        if len(self.places) >= CACHED_CHUNKS:
+            self._forget()
+        counts = np.array([len(w) for w in lists], np.int64)
+        places = np.fromiter(map(self.places.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum()))
+        if self.places.new:
+            self._learn()
+        sizes = self.sizes[places]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.repeat(self.starts[places] - ends[:-1], sizes) + np.arange(ends[-1])
+        raw = self.flat[at].astype("<u4", copy=False).tobytes()
+        edges = (4 * ends[np.concatenate([[0], np.cumsum(counts)])]).tolist()
+        k = 0
         for w in waiting:
-            yield w if isinstance(w, bytes) else b"".join(map(known.__getitem__, w))
+            if isinstance(w, list):
+                yield raw[edges[k] : edges[k + 1]]
+                k += 1
+            else:
+                yield w.astype("<u4", copy=False).tobytes()
 
     def encode(self, text):
         return next(self.encode_all([text]))
