@@ -1,0 +1,57 @@
+"""Texts of several megabytes beside short ones."""
+
+import hashlib
+
+import pytest
+
+from tickerloom.llm import html_text, licenses, merkle, pii, simhash, substring_dedup
+
+LINE = "a quiet river, seven stones. "
+LONG = LINE * 120_000
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(1, LONG), (2, "short text"), (3, None), (4, LONG[:-1] + "!")]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def by_id(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_merkle(docs):
+    found = by_id(merkle.report(docs))
+    assert found[1].n_chars == len(LONG) and found[4].n_chars == len(LONG)
+    assert found[1].fingerprint != found[4].fingerprint and found[4].near_next < 0.1
+    changed = LONG[: len(LONG) - len(LONG) // 2] + (LONG[:-1] + "!")[: len(LONG) // 2]
+    assert found[1].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+
+
+def test_simhash(docs):
+    found = by_id(simhash.report(docs))
+    assert found[1].component_id == found[4].component_id == 1
+    assert found[2].component_id != 1
+
+
+def test_substring_dedup(docs):
+    found = by_id(substring_dedup.report(docs))
+    words = len(LONG.split())
+    assert found[1].n_words == found[4].n_words == words
+    # All windows after the first period are repeats.
+    assert words - found[1].n_removed == 5 and found[4].n_removed in (words - 1, words)
+
+
+def test_licenses_and_pii(docs):
+    found = by_id(licenses.report(docs))
+    assert found[1].digest == found[4].digest and found[3].digest is None
+    assert by_id(pii.report(docs))[1].n_email == 0
+
+
+def test_pages(spark):
+    page = "<html><body><nav><a href='x'>menu</a></nav><article>" + "<p>" + LINE + "</p>\n" * 1 + (
+        f"<p>{LINE}</p>\n" * 100_000
+    ) + "</article></body></html>"
+    pages = spark.createDataFrame([(1, "http://a.org/1", page), (2, None, None)], "page_id long, url string, html string")
+    found = {r.page_id: r for r in html_text.extract(pages, whole_articles=True).collect()}
+    assert found[1].n_chars == 100_001 * len(LINE.strip()) + 100_000 and found[2].text == ""

@@ -6,7 +6,7 @@ vector, Spark aggregates its support, its total and two sums of hashes of (page,
 are equal for equal vectors. Tokens of a host that share a vector are an equivalence class.
 
 * A class is frequent if at least MIN_SHARE of the host's pages have it; hosts with fewer than
-  MIN_PAGES pages give no template. Pages of a host whose text without tags is the same (repeated
+  MIN_PAGES pages give no template, since two pages may share a line by chance. Pages of a host whose text without tags is the same (repeated
   rows, mirrors, addresses with other parameters) count as one page here. So a template has at most 1 / MIN_SHARE times the tokens of
   an average page.
 * A class is valid if it nests: all its elements whose parents are not of the class hang below
@@ -16,11 +16,16 @@ are equal for equal vectors. Tokens of a host that share a vector are an equival
   stay whole (`whole_articles`, as in the registered queries). What is left are slots, named by their innermost template
   element; a slot of menu-like elements (mostly link text) or below a boilerplate element is dropped.
 
-The page's main element (article, else main, else body) bounds the text. Elements of no template
-fall back on names alone. Blocks are joined in page order.
+Names. An element whose class or id is made of boilerplate words alone ("cookie-notice", "site-header")
+is dropped. A name that only holds such a word ("social-history") raises a suspicion, which the
+element's class must confirm: it is dropped where it is in the template of its host.
+
+The page's main element bounds the text: articles, else main elements, else the body; one that holds
+less than MAIN_SHARE of what is left of the page is a teaser and doesn't. Blocks are joined in page order.
 
 Defined results: null or empty html gives an empty text; null ids and addresses pass through
-(pages without an address form one host); repeated rows are repeated. Only the named columns are read.
+(pages without an address form one host); repeated rows are repeated, and an empty table gives an empty
+result. Pages of any length are parsed whole, one at a time. Only the named columns are read.
 """
 
 import html
@@ -34,7 +39,8 @@ from pyspark.sql import functions as F
 from ..operators.lineage import checked_broadcast
 from ..sources.stages import staged
 
-MIN_PAGES = 10
+MIN_PAGES = 3
+MAIN_SHARE = 0.2
 MIN_SHARE = 0.5
 LINK_SHARE = 0.6
 MIN_LINKS = 3
@@ -68,6 +74,13 @@ NAMED = set(
     "pager pagination share sharing social related recommended comment comments disqus respond "
     "toolbar".split()
 )
+# Words that say nothing about what an element holds.
+NEUTRAL = set(
+    "site page main top bottom left right box block wrap wrapper container inner outer list item items "
+    "section area bar link links post posts content text icon icons button buttons btn col row module "
+    "panel group holder unit slot zone wide small large first last fixed mobile desktop global primary "
+    "secondary the no js is has".split()
+)
 ROLES = set("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 _TOKEN = re.compile(
@@ -79,17 +92,32 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
+# Names beside each other that differ in their numbers alone are told apart, this many of them.
+VARIANTS = 8
 
 
 class _Element:
-    __slots__ = ("tag", "path", "dropped", "main", "link")
+    __slots__ = ("tag", "path", "dropped", "main", "link", "suspect", "names")
 
-    def __init__(self, tag, path, dropped, main, link):
+    def __init__(self, tag, path, dropped, main, link, suspect=False):
         self.tag, self.path, self.dropped, self.main, self.link = tag, path, dropped, main, link
+        self.suspect = suspect
+        # Numbered names of the elements inside, by their name without numbers.
+        self.names = {}
+
+    def step(self, tag, signature):
+        """Name of an element inside: numbers don't count, but which of several numbers it is does."""
+        name = f"{tag}{_DIGITS.sub('0', signature)}"
+        if name == f"{tag}{signature}":
+            return name
+        known = self.names.setdefault(name, {})
+        variant = known.setdefault(signature, len(known)) if len(known) < VARIANTS else known.get(signature, VARIANTS)
+        return f"{name}~{variant}" if variant else name
 
 
 def _names(attrs, inside):
-    """Signature for the path, whether names or role say boilerplate, whether the role is main.
+    """Signature for the path, whether names or role say boilerplate, raise a suspicion, and whether
+    the role is main.
 
     The header of an article (`inside`) is part of it.
     """
@@ -97,17 +125,24 @@ def _names(attrs, inside):
     for m in _ATTRIBUTE.finditer(attrs):
         found.setdefault(m[1].lower(), html.unescape((m[2] or "").strip("\"'")))
     named = " ".join(found.get(k, "") for k in ("class", "id"))
-    parts = {p.lower() for p in _NAME_PART.findall(named)}
+    boilerplate = NAMED - {"header"} if inside else NAMED
     role = found.get("role", "").strip().lower()
-    if inside:
-        parts.discard("header")
-    out = bool(parts & NAMED) or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
-    signature = _DIGITS.sub("0", ".".join(named.split()))
-    return (f".{signature}" if signature else ""), out, role == "main"
+    out = role in ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+    suspect = False
+    for name in named.split():
+        parts = {p.lower() for p in _NAME_PART.findall(name)}
+        if parts & boilerplate:
+            suspect = True
+            out = out or parts <= boilerplate | NEUTRAL
+    signature = ".".join(named.split())
+    return (f".{signature}" if signature else ""), out, suspect, role == "main"
 
 
-def events(page):
-    """(kind, element, raw text): 'text', 'break' (of a block), 'space' or 'open', in page order."""
+def events(page, confirmed=frozenset()):
+    """(kind, element, raw text): 'text', 'break' (of a block), 'space' or 'open', in page order.
+
+    Suspect elements are dropped if their path is `confirmed`.
+    """
     top = _Element("", "", False, 0, False)
     stack, at, size = [top], 0, len(page)
     while at < size:
@@ -140,12 +175,16 @@ def events(page):
         if tag in CLOSES:
             _close(stack, CLOSES[tag], BOUNDARY)
         above = stack[-1]
-        signature, named, role_main = _names(m["attrs"], above.main == 2) if m["attrs"] else ("", False, False)
+        signature, named, suspect, role_main = (
+            _names(m["attrs"], above.main == 2) if m["attrs"] else ("", False, False, False)
+        )
+        path = f"{above.path}/{above.step(tag, signature)}"
+        named = named or (suspect and path in confirmed)
         dropped = above.dropped or tag in BOILERPLATE or (named and tag not in NEVER_NAMED)
         if tag == "header" and above.main < 2:
             dropped = True
         main = max(above.main, 2 if tag == "article" else 1 if tag == "main" or role_main else 0)
-        element = _Element(tag, f"{above.path}/{tag}{signature}", dropped, main, above.link or tag == "a")
+        element = _Element(tag, path, dropped, main, above.link or tag == "a", suspect)
         if tag == "br":
             yield "space", above, None
         elif tag in BLOCK:
@@ -190,20 +229,21 @@ def blocks(found):
         yield first.path, first.main, text
 
 
-def main_text(page, menus=(), constants=frozenset(), whole_articles=False):
+def main_text(page, menus=(), constants=frozenset(), whole_articles=False, confirmed=frozenset()):
     """Blocks of the main element without boilerplate, menu slots and template text.
 
     `menus` is a tuple of paths that end with a slash.
     """
-    found = list(events(page or ""))
-    level = max((e.main for kind, e, _ in found if kind == "open" and not e.dropped), default=0)
-    return "\n".join(
-        text
-        for path, main, text in blocks(found)
-        if main >= level
-        and not (menus and f"{path}/".startswith(menus))
+    left = [
+        (main, text)
+        for path, main, text in blocks(events(page or "", confirmed))
+        if not (menus and f"{path}/".startswith(menus))
         and not (constants and not (whole_articles and main) and block_hash(path, text) in constants)
-    )
+    ]
+    size = sum(len(text) for _, text in left)
+    inside = {level: sum(len(text) for main, text in left if main >= level) for level in (2, 1, 0)}
+    level = next(x for x in (2, 1, 0) if inside[x] >= size * MAIN_SHARE and (inside[x] or not x))
+    return "\n".join(text for main, text in left if main >= level)
 
 
 def block_hash(path, text):
@@ -211,12 +251,14 @@ def block_hash(path, text):
 
 
 def page_tokens(page):
-    """{(path, block): [count, chars, link chars, links]}: block 0 is the element itself."""
-    tokens = {("", 0): [1, 0, 0, 0]}
+    """{(path, block): [count, chars, link chars, links, suspects]}: block 0 is the element itself."""
+    tokens = {("", 0): [1, 0, 0, 0, 0]}
     found = list(events(page or ""))
     for kind, element, raw in found:
         if kind == "open":
-            tokens.setdefault((element.path, 0), [0, 0, 0, 0])[0] += 1
+            entry = tokens.setdefault((element.path, 0), [0, 0, 0, 0, 0])
+            entry[0] += 1
+            entry[4] += element.suspect
             if element.tag == "a":
                 for path in _ancestors(element.path):
                     tokens[path, 0][3] += 1
@@ -227,7 +269,7 @@ def page_tokens(page):
                 entry[1] += size
                 entry[2] += size * element.link
     for path, _, text in blocks(found):
-        tokens.setdefault((path, block_hash(path, text)), [0, 0, 0, 0])[0] += 1
+        tokens.setdefault((path, block_hash(path, text)), [0, 0, 0, 0, 0])[0] += 1
     return tokens
 
 
@@ -242,7 +284,7 @@ def host_of(url):
     return m[1].lower() if m else ""
 
 
-_SUMS = ["support", "total", "low", "high", "chars", "link_chars", "links"]
+_SUMS = ["support", "total", "low", "high", "chars", "link_chars", "links", "suspects"]
 _TOKENS = "host string, path string, block long, " + ", ".join(f"{c} long" for c in _SUMS) + ", pages double"
 # What two copies of a page may differ in: scripts, styles, comments and tags with their attributes.
 _UNSEEN = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*+>"
@@ -254,9 +296,9 @@ def _count_tokens(batches):
         columns = ("page_id", "url", "html", "copies")
         for page_id, url, page, copies in zip(*(batch.column(c).to_pylist() for c in columns)):
             host = host_of(url)
-            for (path, block), (n, chars, link_chars, links) in page_tokens(page).items():
+            for (path, block), (n, *others) in page_tokens(page).items():
                 mark = xxhash.xxh64_intdigest(f"{page_id}\0{url}\0{n}")
-                row = (1, n, mark & 0xFFFFFFFF, mark >> 32, chars, link_chars, links, 1 / copies)
+                row = (1, n, mark & 0xFFFFFFFF, mark >> 32, *others, 1 / copies)
                 old = sums.get((host, path, block))
                 sums[host, path, block] = row if old is None else tuple(map(add, old, row))
         keys = list(zip(*sums)) or [[], [], []]
@@ -318,7 +360,8 @@ def equivalence_classes(pages, id_col="page_id", url_col="url", html_col="html")
 
 
 def templates(pages, id_col="page_id", url_col="url", html_col="html"):
-    """(host, menus, constants): per host the menu-like template elements and the template text."""
+    """(host, menus, constants, confirmed): per host the menu-like template elements, the template text,
+    and the template elements with a suspect name."""
     tokens = equivalence_classes(pages, id_col, url_col, html_col).where("valid")
     pages_with = F.col("vector.support")
     menu = (
@@ -331,6 +374,7 @@ def templates(pages, id_col="page_id", url_col="url", html_col="html"):
     return tokens.groupBy("host").agg(
         F.collect_list(F.when(menu, F.col("path"))).alias("menus"),
         F.collect_list(F.when(F.col("block") != 0, F.col("block"))).alias("constants"),
+        F.collect_list(F.when(F.col("suspects") > 0, F.col("path"))).alias("confirmed"),
     )
 
 
@@ -338,9 +382,12 @@ def _extract(whole_articles, kept):
     def run(batches):
         for batch in batches:
             texts = [
-                main_text(page, tuple(f"{m}/" for m in menus or ()), frozenset(constants or ()), whole_articles)
-                for page, menus, constants in zip(
-                    *(batch.column(c).to_pylist() for c in ("html", "menus", "constants"))
+                main_text(
+                    page, tuple(f"{m}/" for m in menus or ()), frozenset(constants or ()), whole_articles,
+                    frozenset(confirmed or ()),
+                )
+                for page, menus, constants, confirmed in zip(
+                    *(batch.column(c).to_pylist() for c in ("html", "menus", "constants", "confirmed"))
                 )
             ]
             yield pa.RecordBatch.from_arrays(
