@@ -6,7 +6,9 @@ broadcast of a fixed table, to the digests of known licences. A whole text match
 single lines that are a known notice are listed in `notices`.
 
 Defined results: a null text, or one without letters or digits, has no digest and no licence;
-null ids and repeated rows pass through. Only the named columns are read.
+null ids and repeated rows pass through, and an empty table gives an empty result. Texts are made
+canonical whole, by expressions, so a very long one costs a few copies of it. Only the named columns are
+read.
 """
 
 import hashlib

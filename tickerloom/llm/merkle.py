@@ -12,7 +12,9 @@ digests differ, which locates the edit, and gives the share of leaves in common.
 
 Defined results: a null text is empty; an empty text has a tree without leaves, like only
 another empty one. Documents are walked by descending id, null ids last, rows that share an id
-by text. Only the named columns are read.
+by text; an empty table gives an empty result. The order of leaves counts in digests alone: texts whose
+clauses are only reordered have other roots, but likeness 1. A very long text costs its leaves; rows that
+share an id, null ids included, are walked in one task. Only the named columns are read.
 """
 
 import hashlib

@@ -11,7 +11,8 @@ from alternating large-star and small-star steps over the links.
 
 Defined results: a null or empty text has fingerprint 0, linked like any other; a null id
 takes part in links but never names a component that has another id; repeated rows give
-repeated rows. Only the named columns are read, so other columns cannot clash.
+repeated rows; an empty table gives an empty result. A very long text costs the hashes of its shingles.
+Only the named columns are read, so other columns cannot clash.
 """
 
 from itertools import accumulate, combinations

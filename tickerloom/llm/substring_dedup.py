@@ -22,7 +22,8 @@ an id (null is one) are first sorted by id, text and a random number over ranges
 that every row is a document of its own, however many rows an id has.
 
 Defined results: a null or empty text has no words; documents are ordered by id (null first),
-rows that share an id by text. Ids must be integers. Only the named columns are read.
+rows that share an id by text; an empty table gives an empty result. Texts of any length are hashed block
+by block. Ids must be integers. Only the named columns are read.
 """
 
 import hashlib
