@@ -1,4 +1,12 @@
-"""A corpus pipeline of five stages, each written as Parquet and read again by the next one."""
+"""A corpus pipeline of five stages, each written as Parquet and read again by the next one.
+
+Defined results: documents without letters (null and empty texts among them), and those whose language
+isn't recognised, go in the first stage; without any declared language no document is recognised. Rows
+that are repeated, or share an id, are documents of their own: one of each group of near-duplicates
+stays, by its least id and text (a null id last). A null id passes through all stages. Texts of any
+length are handled whole. Further columns are kept up to the last stage, whatever their names; that one
+returns the columns of the packing. An empty table gives an empty result.
+"""
 
 from pyspark.sql import functions as F
 
