@@ -202,3 +202,22 @@ def test_merges_of_random_words(library):
     words = ["".join(rng.choice("etaoinshrdluéà#&*") for _ in range(rng.randrange(1, 45))) for _ in range(4000)]
     for word, ids in zip(words, coder.encode_all(words)):
         assert np.frombuffer(ids, "<u4").tolist() == library(word)
+
+
+def test_few_texts_are_cut_into_pieces_at_a_time(monkeypatch):
+    """The pieces of a part are Python strings, many times as large as the text."""
+    import public_tokenizers
+
+    from tickerloom.llm import tokens
+
+    encoder = tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    joined, most = encoder._joined, []
+
+    def watch(waiting):
+        most.append(sum(len(piece) for pieces in waiting for piece in pieces))
+        return joined(waiting)
+
+    monkeypatch.setattr(encoder, "_joined", watch)
+    texts = [f"word{k} " * 2_000 for k in range(150)]
+    assert len(list(encoder.encode_all(texts))) == 150
+    assert sum(most) > 1_500_000 and max(most) < 1_200_000

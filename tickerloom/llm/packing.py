@@ -28,6 +28,14 @@ CAPACITY = 4096
 # Parts in which the pieces of one length are ranked: at least so many, and of about so many pieces.
 SALTS = 256
 RANKED_ROWS = 1_000_000
+# Texts of a batch that are taken together.
+TEXTS = 256
+
+
+def _texts(column):
+    """The texts of a batch, of which few are Python strings at a time."""
+    for at in range(0, len(column), TEXTS):
+        yield from column.slice(at, TEXTS).to_pylist()
 
 
 def _cut(path, capacity):
@@ -37,7 +45,7 @@ def _cut(path, capacity):
         encode_all = encoder(path).encode_all
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []
-            for row, ids in enumerate(encode_all(batch.column("text").to_pylist())):
+            for row, ids in enumerate(encode_all(_texts(batch.column("text")))):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]

@@ -1,6 +1,6 @@
 """Token ids of whole texts with a public tokenizer file.
 
-The tokenizer drops white space and never looks across it. Texts are taken a few megabytes at a time
+The tokenizer drops white space and never looks across it. Texts are taken a megabyte at a time
 and cut into pre-tokens here. A store of bounded size numbers them and holds their ids, which are gathered
 for the whole part at once; the merges of all new ones of one length are applied side by side. That holds for chunks of
 Latin letters, digits and ASCII marks; any other chunk goes through the whole library pipeline.
@@ -17,8 +17,8 @@ from tokenizers.pre_tokenizers import ByteLevel
 # Pre-tokens that are kept; beyond that all are forgotten before the next part.
 CACHED_CHUNKS = 500_000
 END_ID = 1
-# Characters that are encoded together.
-PART_CHARS = 1 << 22
+# Characters that are encoded together: their pre-tokens take a multiple of their bytes.
+PART_CHARS = 1 << 20
 # Longer pre-tokens go to the library one by one.
 LONGEST_PIECE = 32
 
