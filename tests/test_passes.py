@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from tickerloom import fixtures
+from tickerloom.operators import lineage
 from tickerloom.plans import feature_table
 from tickerloom.registry import queries
 
@@ -57,3 +58,16 @@ def test_many_symbols_read_the_lines_once_after_the_stages(spark, tables):
     many = feature_table.feature_table(bars, sizes=sizes, symbols_per_task=2)
     assert _rows(queries.rounded(many)) == _rows(queries.rounded(few))
     assert _plan(many)[0].count("lineitem.parquet") == 1
+
+
+def test_training_table_writes_the_features_once(spark, tables, monkeypatch):
+    written = []
+    staged = lineage.staged
+
+    def count(df, *args, **options):
+        written.append(len(df.columns))
+        return staged(df, *args, **options)
+
+    monkeypatch.setattr(lineage, "staged", count)
+    assert queries.training_table(spark, tables).count() > 0
+    assert sum(n > 20 and n < 50 for n in written) == 1
