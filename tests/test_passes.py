@@ -7,10 +7,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tickerloom import fixtures
-from tickerloom.operators import lineage
-from tickerloom.plans import feature_table
+from tickerloom.operators import lineage, selection
+from tickerloom.plans import boosting, feature_table
 from tickerloom.registry import queries
 
 SYMBOLS, DAYS = 7, 130
@@ -71,3 +72,34 @@ def test_training_table_writes_the_features_once(spark, tables, monkeypatch):
     monkeypatch.setattr(lineage, "staged", count)
     assert queries.training_table(spark, tables).count() > 0
     assert sum(n > 20 and n < 50 for n in written) == 1
+
+
+def test_a_task_sends_one_row_of_counts_for_each_column(spark):
+    rng = np.random.default_rng(3)
+    values = rng.normal(size=20_000)
+    df = spark.createDataFrame(pa.table({"a": values, "b": -values})).repartition(3)
+    cells = [np.zeros(1, np.uint64)] * 2
+    sent = df.mapInArrow(selection._count_digits(["a", "b"], cells, 0, 16), selection.SUMS)
+    assert sent.count() <= 2 * 3
+    places = [0, 77, 9_999, 19_999]
+    found = selection.values_at(df, {"a": places, "b": places}, finish_rows=10)
+    assert np.array_equal(found["a"], np.sort(values)[places])
+    assert np.array_equal(found["b"], np.sort(-values)[places])
+
+
+def test_rows_walk_through_no_finished_tree(spark, monkeypatch):
+    rows = spark.range(0, 600, 1, 2).select(
+        F.col("id").alias("_row"), (F.col("id") % 37).cast("double").alias("x"),
+        (F.col("id") % 7).cast("double").alias("_y"), F.lit(1.0).alias("_w"), (F.col("id") % 10 == 0).alias("_held"),
+    )
+    finished = []
+    histograms = boosting.histograms
+
+    def watch(state, width, trees, *args):
+        finished.append(len(trees))
+        return histograms(state, width, trees, *args)
+
+    monkeypatch.setattr(boosting, "histograms", watch)
+    model = boosting.fit(rows, ["x"], max_trees=3, max_leaves=4, patience=None)
+    assert len(model.trees) == 3
+    assert max(finished) == 0
